@@ -1,0 +1 @@
+"""Deliberately empty: every operator of the inventory is a batch operator."""
