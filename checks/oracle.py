@@ -5,6 +5,7 @@ not share the shape of the Spark operators they check."""
 
 from __future__ import annotations
 
+import json
 import re
 
 from checks.standin import STANDIN
@@ -438,3 +439,346 @@ select hs_years_in_district, number_of_schools, number_of_enrollments, count(dis
 Q["enrollment_summary_by_year"] = """
 select e.academic_year, u.hs_years_in_district, u.number_of_schools, u.number_of_enrollments, count(distinct e.student_id) as n_units
 from school_enrollment e left join t_unit_enr u on u.student_id = e.student_id group by all"""
+
+# -- dataset -----------------------------------------------------------------
+
+TIMES = range(4, 13)
+STATIC_DROPPED = ["date_of_birth", *[f"{n}_{u}" for n in AGES for u in ("months", "days")]]
+STATIC_VOCABULARY = {
+    "gender": ["F", "M"],
+    "race": ["A_W", "B", "H", "W"],
+    "race_ethnicity": ["B", "B_H", "H", "W"],
+    "home_language_code": ["a_b_c_d", "a_b_c_d_e_f", "a_b_c_d_e_f_g", "en", "en_es", "en_es_fr"],
+}
+SCHOOL_VOCABULARY = {
+    "school_area": ["area0", "area1", "area2", "area3"],
+    "school_grade_span": ["E", "H", "MH"],
+    "school_magnet": ["GT/AIG", "IB"],
+    "school_calendar": ["traditional"],
+}
+STEP_VOCABULARY = {f"grade_level_{t}_{c}": v for t in TIMES for c, v in SCHOOL_VOCABULARY.items()}
+VOCABULARY = {**STATIC_VOCABULARY, **STEP_VOCABULARY}
+SCHOOL_COLUMNS = ["school_area", "school_grade_span", "school_magnet", "school_calendar", "school_crowding",
+                  "school_is_elementary", "school_is_middle", "school_is_high", "school_is_magnet",
+                  "school_magnet_is_ib", "school_magnet_is_gifted", "school_pbis", "school_stem"]
+YEARLY_VALUES = ["countdown", *ABSENCE, *DISC_RAW, *WINDOWED, *[f"disc_{c}" for c in [*CATEGORIES, "other"]],
+                 "courses_taken", *TITLE_NAMES, *MARK_NAMES, "avg_gpa", "current_school_id", *SCHOOL_COLUMNS]
+BOOLEANS = {"school_is_magnet", "school_magnet_is_ib", "school_magnet_is_gifted", "school_pbis", "school_stem"}
+STATIC_VALUES = ["special_ed_ever", "rel_age_to_cohort", "rel_age_to_cohort_1to3_years_older",
+                 *[f"home_language_{k}more" for k in range(2, 7)], "home_language_count", "race_2more",
+                 "race_is_hispanic", "race_ethnicity_is_hispanic"]
+
+T["t_yearly"] = Q["yearly_features"]
+T["t_latest"] = """
+select * exclude (rn) from (
+  select *, row_number() over (partition by student_id, grade_level
+                               order by academic_year desc, current_school_id asc nulls last) as rn from t_yearly)
+where rn = 1"""
+T["t_pivot"] = "select student_id, " + ", ".join(
+    f"max(case when grade_level = {t} then {v} end) as grade_level_{t}_{v}" for v in YEARLY_VALUES for t in TIMES
+) + " from t_latest group by student_id"
+
+
+def dummies(vocabulary: dict[str, list[str]]) -> str:
+    return ", ".join(
+        f"""cast(case when {c} = '{v}' then 1 else 0 end as int) as "{c}_{v}" """ for c, vs in vocabulary.items() for v in vs
+    )
+
+
+STEP_NUMBERS = [f"grade_level_{t}_{v}" for v in YEARLY_VALUES if v not in SCHOOL_VOCABULARY for t in TIMES]
+T["t_features"] = f"""
+select coalesce(s.student_id, p.student_id) as student_id, s.cohort, {', '.join(STATIC_VALUES)}, {', '.join(STEP_NUMBERS)},
+       {dummies(VOCABULARY)}
+from t_static s full join t_pivot p on p.student_id = s.student_id"""
+T["t_known"] = "select student_id, outcome_label as label from t_label where outcome_label is not null"
+T["t_dataset"] = "select f.*, k.label from t_features f join t_known k on k.student_id = f.student_id"
+FEATURES = [*STATIC_VALUES, *STEP_NUMBERS, *[f"{c}_{v}" for c, vs in VOCABULARY.items() for v in vs]]
+
+Q["dedup_last"] = "select * from t_latest"
+Q["pivot_by_grade"] = "select * from t_pivot"
+Q["one_hot"] = f"select * exclude ({', '.join(STATIC_VOCABULARY)}), {dummies(STATIC_VOCABULARY)} from t_static"
+Q["features_merged"] = "select * from t_features"
+Q["labelled_instances"] = "select s.*, k.label from t_static s join t_known k on k.student_id = s.student_id"
+Q["dataset"] = "select * from t_dataset"
+Q["dataset_cache"] = "select * from t_dataset"
+Q["load_units"] = """
+select 'cohort' as table_name, count(*) as n, count(distinct student_id) as units from t_cohort
+union all select 'static', count(*), count(distinct student_id) from t_static
+union all select 'yearly', count(*), count(distinct student_id) from t_latest
+union all select 'label', count(*), count(distinct student_id) from t_label"""
+
+
+def is_boolean(f: str) -> bool:
+    return f == "special_ed_ever" or any(f.endswith("_" + b) for b in BOOLEANS)
+
+
+def number(f: str) -> str:
+    return f'cast(cast("{f}" as int) as double)' if is_boolean(f) else f'cast("{f}" as double)'
+
+
+# -- splits ------------------------------------------------------------------
+
+GRADES = range(6, 12)
+T["t_splits"] = f"""
+select g.grade, a.cohort as train, b.cohort as test
+from (select distinct cohort from t_dataset) a join (select distinct cohort from t_dataset) b on a.cohort < b.cohort
+join (select cast(unnest(range({GRADES[0]}, {GRADES[-1] + 1})) as int) as grade) g on a.cohort <= b.cohort - (12 - g.grade)"""
+T["t_member"] = """
+select d.student_id, d.cohort, s.grade, s.train, s.test, case when d.cohort <= s.train then 'train' else 'test' end as fold, d.label
+from t_dataset d join t_splits s on d.cohort <= s.train or d.cohort >= s.test"""
+Q["temporal_splits"] = "select * from t_splits"
+Q["split_membership"] = "select student_id, cohort, grade, train, test, fold from t_member"
+Q["split_class_counts"] = "select grade, train, test, fold, label, count(*) as n from t_member group by all"
+T["t_usable"] = """
+select grade, train, test from t_member group by all
+having count(distinct label) filter (where fold = 'train') >= 2 and count(*) filter (where fold = 'test') > 0"""
+Q["usable_splits"] = "select * from t_usable"
+
+ASOF_GRADE = 9
+
+
+def asof(names: list[str], grade: int) -> list[str]:
+    return [n for n in names if not n.startswith("grade_level_") or int(n.split("_")[2]) <= grade]
+
+
+Q["features_asof_grade"] = "select student_id, " + ", ".join(f'"{f}"' for f in asof(FEATURES, ASOF_GRADE)) + " from t_dataset"
+
+# Feature catalog of the stand-in features: name, table, category, excluded.
+CATALOG = (
+    [(n, "_cohort_feature", "demographic", 0) for n in ("gender", "race", "race_ethnicity", "race_2more", "race_is_hispanic",
+                                                       "race_ethnicity_is_hispanic", "special_ed_ever")]
+    + [(n, "_cohort_feature", "age", 0) for n in ("rel_age_to_cohort", "rel_age_to_cohort_1to3_years_older")]
+    + [("home_language_code", "_cohort_feature", "language", 1)]
+    + [(f"home_language_{k}more", "_cohort_feature", "language", 0) for k in range(2, 7)]
+    + [("home_language_count", "_cohort_feature", "language", 0)]
+    + [("countdown", "_cohort_by_year_feature", "id", 0), ("current_school_id", "_cohort_by_year_feature", "id", 1)]
+    + [(n, "_cohort_by_year_feature", "attendance", 0) for n in ABSENCE]
+    + [(n, "_cohort_by_year_feature", "incident", 1) for n in DISC_RAW]
+    + [(n, "_cohort_by_year_feature", "suspension", 0) for n in WINDOWED]
+    + [(f"disc_{n}", "_cohort_by_year_feature", "incident", 0) for n in [*CATEGORIES, "other"]]
+    + [(n, "_cohort_by_year_feature", "coursework", 0) for n in ("courses_taken", *TITLE_NAMES)]
+    + [(n, "_cohort_by_year_feature", "mark", 0) for n in (*MARK_NAMES, "avg_gpa")]
+    + [(n, "_cohort_by_year_feature", "school", 0) for n in SCHOOL_COLUMNS]
+)
+T["t_catalog"] = ("select * from (values " + ", ".join(f"('{a}', '{b}', '{c}', {d})" for a, b, c, d in CATALOG)
+                  + ") v(feature_name, table_name, feature_category_primary, exclude_when_modeling)")
+ALL_RAW = [(n, "t_static") for n in ["gender", "race", "race_ethnicity", "home_language_code", *STATIC_VALUES]] + [
+    (n, "t_latest") for n in YEARLY_VALUES]
+T["t_coverage"] = " union all ".join(
+    f"select '{n}' as feature_name, count({n}) as n_values from {t}" for n, t in ALL_RAW)
+SKIPPED = "('id', 'attendance', 'coursework', 'demographic', 'school')"
+T["t_set_categories"] = f"select distinct feature_category_primary as category from t_catalog where feature_category_primary not in {SKIPPED}"
+T["t_sets"] = """
+select category as feature_set, category from t_set_categories
+union all
+select string_agg(b.category, ', ' order by b.category), unnest(list(b.category)) from t_set_categories a
+join t_set_categories b on b.category <> a.category group by a.category
+union all
+select string_agg(category, ', ' order by category), unnest(list(category)) from t_set_categories"""
+Q["feature_catalog"] = "select c.*, v.n_values from t_catalog c join t_coverage v on v.feature_name = c.feature_name"
+Q["feature_sets"] = """
+select s.feature_set, s.category, cast(sum(v.n_values) as bigint) as n_values
+from t_sets s join t_catalog c on c.feature_category_primary = s.category and c.exclude_when_modeling = 0
+join t_coverage v on v.feature_name = c.feature_name group by all"""
+# Columns of the model dataset per feature, excluded features left out, with their value counts.
+_OWNER = {}
+for _f in FEATURES:
+    _base = "_".join(_f.split("_")[3:]) if _f.startswith("grade_level_") else _f
+    _OWNER[_f] = max((c for c in CATALOG if _base == c[0] or _base.startswith(c[0] + "_")), key=lambda c: len(c[0]))
+Q["feature_set_members"] = "select s.feature_set, m.column_name, m.n_values from t_sets s join (" + " union all ".join(
+    f"""select '{f}' as column_name, '{o[2]}' as category, count("{f}") as n_values from t_dataset"""
+    for f, o in _OWNER.items() if o[3] == 0
+) + ") m on m.category = s.category"
+
+# -- imputation, sampling ----------------------------------------------------
+
+TRAIN, TEST = 1999, 2002
+X = asof(FEATURES, ASOF_GRADE)
+Q["imputed_mean"] = (
+    "select student_id, label, case when cohort >= {1} then 'test' else 'train' end as fold, ".format(TRAIN, TEST)
+    + ", ".join(f"round(coalesce({number(f)}, (select avg({number(f)}) from t_dataset where cohort <= {TRAIN}), 0), 6) as \"{f}\"" for f in X)
+    + f" from t_dataset where cohort <= {TRAIN} or cohort >= {TEST}"
+)
+MODE_COLUMNS = ["gender", "race", "race_ethnicity", "home_language_code"]
+MEAN_COLUMNS = ["rel_age_to_cohort", "age_first_entered_district_months", "age_entered_into_us_months"]
+Q["imputed_mode"] = "select student_id, " + ", ".join(
+    f"coalesce({c}, (select {c} from t_static where {c} is not null group by {c} order by count(*) desc, {c} limit 1)) as {c}" for c in MODE_COLUMNS
+) + ", " + ", ".join(f"round(coalesce(cast({c} as double), (select avg({c}) from t_static)), 6) as {c}" for c in MEAN_COLUMNS) + " from t_static"
+Q["assembled"] = (
+    "select student_id, cast(label as double) as label, " + f"{len(X)} as n_features, round("
+    + " + ".join(f"coalesce({number(f)}, (select avg({number(f)}) from t_dataset where cohort <= {TRAIN}), 0)" for f in X)
+    + f", 4) as feature_sum from t_dataset where cohort <= {TRAIN}"
+)
+
+
+def hash_order(*keys: str, seed: int | str = 0) -> str:
+    return "md5(concat_ws('|', " + ", ".join(f"cast({k} as varchar)" for k in keys) + f", '{seed}'))"
+
+
+def draw(*keys: str, seed: int | str = 0) -> str:
+    return f"(('0x' || substr({hash_order(*keys, seed=seed)}, 1, 8))::bigint / 4294967296.0)"
+
+
+RATIO = 1.5
+Q["subsample"] = f"""
+select student_id, cohort, label from (
+  select student_id, cohort, label, row_number() over (partition by label order by {hash_order('student_id')}, student_id) as rn,
+         count(*) filter (where label = 1) over () as ones from t_dataset)
+where label = 1 or rn <= floor({RATIO} * ones)"""
+Q["subsample_by_cohort"] = f"""
+select student_id, cohort, label from (
+  select student_id, cohort, label, row_number() over (partition by cohort, label order by {hash_order('student_id', seed=7)}, student_id) as rn,
+         count(*) filter (where label = 1) over (partition by cohort) as ones from t_dataset)
+where label = 1 or rn <= floor(2.0 * ones)"""
+Q["stratified_kfold"] = f"""
+select student_id, label, cast((row_number() over (partition by label order by {hash_order('student_id')}, student_id) - 1) % 5 as int) as fold
+from t_dataset"""
+T["t_prior"] = f"select avg(label) as p from t_dataset where cohort <= {TRAIN}"
+Q["dummy_baseline"] = f"""
+select 'stratified' as strategy, student_id, cast(label as double) as y_true,
+       case when {draw('student_id')} < p then 1.0::double else 0.0::double end as y_pred,
+       case when {draw('student_id')} < p then 1.0::double else 0.0::double end as y_prob from t_dataset, t_prior where cohort >= {TEST}
+union all
+select 'uniform', student_id, cast(label as double), case when {draw('student_id')} < 0.5 then 1.0::double else 0.0::double end, 0.5::double
+from t_dataset where cohort >= {TEST}"""
+SMOTE_COLUMNS = ["home_language_count", "race_2more", "race_is_hispanic", "race_ethnicity_is_hispanic",
+                 "grade_level_9_courses_taken", "grade_level_9_mark_is_a", "grade_level_9_susp_count", "grade_level_9_days_absent"]
+T["t_minority"] = "select student_id, " + ", ".join(
+    f"cast(coalesce({c}, 0) as double) as x{i}" for i, c in enumerate(SMOTE_COLUMNS)) + " from t_dataset where label = 1"
+DIST = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(SMOTE_COLUMNS)))
+T["t_near"] = f"""
+select student_id, cast(rank as int) as rank, neighbour, sqrt(d2) as distance from (
+  select a.student_id, b.student_id as neighbour, {DIST} as d2,
+         row_number() over (partition by a.student_id order by {DIST}, b.student_id) as rank
+  from t_minority a join t_minority b on b.student_id <> a.student_id)
+where rank <= 4"""
+Q["smote_neighbours"] = "select student_id, rank, neighbour, round(distance, 6) as distance from t_near"
+Q["smote"] = f"""
+select d.student_id, cast(d.copy as int) as copy, d.neighbour, """ + ", ".join(
+    f"round(a.x{i} + {draw('d.student_id', 'd.copy', seed='gap0')} * (b.x{i} - a.x{i}), 6) as x{i}" for i in range(len(SMOTE_COLUMNS))
+) + f"""
+from (select c.student_id, c.copy, n.neighbour
+      from (select m.student_id, k.copy, {draw('m.student_id', 'k.copy', seed='pick0')} as u,
+                   (select count(*) from t_near n where n.student_id = m.student_id) as size
+            from t_minority m cross join (select unnest([0, 1]) as copy) k) c
+      join t_near n on n.student_id = c.student_id and n.rank = cast(floor(c.u * c.size) as bigint) + 1) d
+join t_minority a on a.student_id = d.student_id join t_minority b on b.student_id = d.neighbour"""
+
+# -- sweep tables ------------------------------------------------------------
+
+SUBSAMPLES, SMOTES = (None, 1.0, 2.5, 5.0), (None, 100, 200, 500)
+T["t_modifiers"] = ("select * from (values " + ", ".join(
+    f"({'null' if s is None else s}::double, {'null' if o is None else o}::int, 'mean')" for s in SUBSAMPLES for o in SMOTES
+) + ") v(subsample, smote, imputation)")
+Q["modifier_grid"] = """
+select s.*, m.*, cast(c.zeros as bigint) as zeros, cast(c.ones as bigint) as ones,
+       cast(c.ones * (1 + coalesce(m.smote, 0) / 100) as bigint) as ones_after,
+       cast(case when m.subsample is null then c.zeros
+                 else least(c.zeros, floor(m.subsample * (c.ones * (1 + coalesce(m.smote, 0) / 100)))) end as bigint) as zeros_after
+from t_usable s join (select grade, train, test, count(*) filter (where label = 0) as zeros, count(*) filter (where label = 1) as ones
+                      from t_member where fold = 'train' group by all) c using (grade, train, test)
+cross join t_modifiers m"""
+
+FOREST = [{"n_estimators": a, "criterion": "entropy", "max_features": b, "max_depth": c, "bootstrap": True, "random_state": 0}
+          for a in (5, 50) for b in (None, "log2") for c in (3, 10)]
+MODELS = [("dummy", "DummyClassifier", {"strategy": s, "random_state": 0}) for s in ("stratified", "uniform")] + [
+    ("random_forest", "RandomForestClassifier", p) for p in FOREST]
+T["t_models"] = "select * from (values " + ", ".join(
+    f"('{a}', '{b}', '{json.dumps(p, sort_keys=True)}')" for a, b, p in MODELS) + ") v(learner, model, params)"
+ESCAPED = "replace(replace(params, '\\', '\\\\'), '\"', '\\\"')"
+T["t_configs"] = f"""
+select s.grade, s.test, s.train, m.learner, m.model, m.params, 'all' as features, o.subsample, o.smote, o.imputation,
+       sha1('["' || concat_ws('", "', grade, test, train, model, {ESCAPED}, 'all', coalesce(cast(subsample as varchar), ''),
+                              coalesce(cast(smote as varchar), '')) || '"]') as summary_hash
+from t_usable s cross join t_modifiers o cross join t_models m"""
+Q["sweep_configs"] = "select * from t_configs"
+Q["config_hash"] = "select summary_hash, count(*) as n from t_configs group by summary_hash"
+Q["model_grid"] = "select model, params, count(*) as n_fits from t_configs group by model, params"
+# -- metrics -----------------------------------------------------------------
+
+TOP = {"0.1%": 0.001, "0.2%": 0.002, "0.5%": 0.005, "1.0%": 0.01, "2.0%": 0.02, "5.0%": 0.05, "10.0%": 0.1, "50.0%": 0.5, "100%": 1.0}
+Q["confusion_metrics"] = """
+select summary_hash, tp, fp, fn, tn, round((tp + tn)::double / (tp + fp + fn + tn), 6) as acc,
+       round(case when tp + fp = 0 then 0 else tp::double / (tp + fp) end, 6) as pre,
+       round(case when tp + fn = 0 then 0 else tp::double / (tp + fn) end, 6) as recall,
+       round(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end, 6) as f1
+from (select summary_hash, count(*) filter (where y_true = 1 and y_pred = 1) as tp, count(*) filter (where y_true = 0 and y_pred = 1) as fp,
+             count(*) filter (where y_true = 1 and y_pred = 0) as fn, count(*) filter (where y_true = 0 and y_pred = 0) as tn
+      from predictions group by summary_hash)"""
+Q["brier"] = "select summary_hash, round(avg((y_prob - y_true) ** 2), 6) as brier from predictions group by summary_hash"
+T["t_curve"] = """
+select summary_hash, y_prob, pos, neg, sum(pos) over w as tp, sum(neg) over w as fp,
+       sum(pos) over (partition by summary_hash) as p, sum(neg) over (partition by summary_hash) as n
+from (select summary_hash, y_prob, sum(y_true) as pos, sum(1 - y_true) as neg from predictions group by all)
+window w as (partition by summary_hash order by y_prob desc rows unbounded preceding)"""
+T["t_roc"] = """
+select summary_hash, y_prob as threshold, fp / n as fpr, tp / p as tpr from t_curve
+union all select distinct summary_hash, null, 0.0, 0.0 from predictions"""
+T["t_pr"] = """
+select summary_hash, y_prob as threshold, tp / p as recall, tp / (tp + fp) as precision from t_curve
+union all select distinct summary_hash, null, 0.0, 1.0 from predictions"""
+Q["roc_points"] = "select summary_hash, threshold, round(fpr, 6) as fpr, round(tpr, 6) as tpr from t_roc"
+Q["pr_points"] = "select summary_hash, threshold, round(recall, 6) as recall, round(precision, 6) as precision from t_pr"
+T["t_grid"] = """
+select h.summary_hash, g.i, case when g.i = 99 then 1.0 else (
+  select arg_max(a.tpr + (case when b.fpr is null then 0 else (b.tpr - a.tpr) / (b.fpr - a.fpr) * (g.i * (1 / 99.0::double) - a.fpr) end), a.fpr)
+  from (select summary_hash, fpr, max(tpr) as tpr from t_roc group by all) a
+  left join lateral (select fpr, min(tpr) as tpr from t_roc r where r.summary_hash = a.summary_hash and r.fpr > a.fpr
+                     group by fpr order by fpr limit 1) b on true
+  where a.summary_hash = h.summary_hash and a.fpr <= g.i * (1 / 99.0::double)) end as y
+from (select distinct summary_hash from predictions) h cross join (select unnest(range(100)) as i) g"""
+T["t_roc_auc"] = """
+select g.summary_hash, (sum(g.y) - sum(g.y) filter (where g.i in (0, 99)) / 2) / 99 as roc_auc from t_grid g group by g.summary_hash"""
+T["t_exact"] = """
+select summary_hash, sum(neg * (tp + tp - pos) / 2.0) / max(p * n) as roc_auc_exact from t_curve group by summary_hash"""
+T["t_prc"] = """
+select summary_hash, sum((recall - r0) * (precision + p0) / 2) as prc_auc from (
+  select *, lag(recall) over w as r0, lag(precision) over w as p0 from t_pr
+  window w as (partition by summary_hash order by threshold desc nulls first)) group by summary_hash"""
+Q["roc_auc"] = """
+select summary_hash, round(roc_auc, 6) as roc_auc, round(roc_auc_exact, 6) as roc_auc_exact from t_roc_auc join t_exact using (summary_hash)"""
+Q["pr_auc"] = "select summary_hash, round(prc_auc, 6) as prc_auc from t_prc"
+T["t_ranked"] = """
+select *, row_number() over (partition by summary_hash order by y_prob desc, student_id) as rank,
+       sum(y_true) over (partition by summary_hash order by y_prob desc, student_id rows unbounded preceding) as hits,
+       count(*) over (partition by summary_hash) as n, sum(y_true) over (partition by summary_hash) as p,
+       row_number() over (partition by summary_hash order by student_id) as pos
+from predictions"""
+
+
+def top(k: float) -> str:
+    return f"floor({k}::double * n)"
+
+
+T["t_pre"] = "select summary_hash, " + ", ".join(
+    f"""round(coalesce(sum(y_true) filter (where rank <= {top(k)}) / nullif(max({top(k)}), 0), 0), 6) as "pre@{name}" """ for name, k in TOP.items()
+) + " from t_ranked group by summary_hash"
+Q["precision_at_k"] = "select * from t_pre"
+Q["ap_at_k_ranked"] = "select summary_hash, " + ", ".join(
+    f"""round(coalesce(sum(hits / rank) filter (where y_true = 1 and rank <= {top(k)}) / nullif(max(least({top(k)}, p)), 0), 0), 6) as "ranked_ap@{name}" """
+    for name, k in TOP.items()
+) + " from t_ranked group by summary_hash"
+T["t_hits"] = """
+select summary_hash, y_pred, min(pos) as pos, max(n) as n from t_ranked r
+where exists (select 1 from predictions q where q.summary_hash = r.summary_hash and q.y_true = r.y_pred) group by summary_hash, y_pred"""
+T["t_ap"] = "select summary_hash, " + ", ".join(
+    f"""round(coalesce(sum(h / pos) filter (where pos <= {top(k)}) / nullif(max({top(k)}), 0), 0), 6) as "ap@{name}" """ for name, k in TOP.items()
+) + " from (select *, row_number() over (partition by summary_hash order by pos)::double as h from t_hits) group by summary_hash"
+Q["ap_at_k"] = "select * from t_ap"
+RISK_K = 0.1
+Q["risk_list"] = f"""
+select summary_hash, rank, student_id, cast(floor(y_prob * 100) as int) as risk_score from t_ranked where rank <= {top(RISK_K)}"""
+Q["evaluate"] = (
+    "select c.summary_hash, acc, f1, recall, pre, brier, round(roc_auc, 6) as roc_auc, round(prc_auc, 6) as prc_auc, p.* exclude (summary_hash), "
+    f"a.* exclude (summary_hash) from ({Q['confusion_metrics']}) c join ({Q['brier']}) b using (summary_hash) "
+    "join t_roc_auc using (summary_hash) join t_prc using (summary_hash) join t_pre p using (summary_hash) join t_ap a using (summary_hash)")
+# -- sinks -------------------------------------------------------------------
+
+Q["csv_roundtrip"] = "select * from graduates"
+Q["table_sink_modes"] = """
+select student_id, cast(academic_year as bigint) as academic_year, classification, 2 as written from graduates
+union all select student_id, cast(academic_year as bigint), classification, 1 from graduates"""
+Q["summary_append_once"] = Q["evaluate"]
+Q["predictions_partitioned"] = """
+select student_id, y_true, y_pred, y_prob, 9 as grade, 2002 as test, 1999 as train, 'given' as model,
+       sha1(cast(summary_hash as varchar)) as summary_hash from predictions"""

@@ -8,16 +8,28 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import oracle as O
 from checks.oracle import ATTENDANCE_FROM, CATEGORIES, INCIDENTS_BETWEEN
 from checks.standin import Tables
 from cohortline.functions import columns as C
 from cohortline.operators import cohort as K
+from cohortline.operators import impute as I
 from cohortline.operators import labels as L
+from cohortline.operators import metrics as E
+from cohortline.operators import neighbours as N
 from cohortline.operators import profile as P
 from cohortline.operators import reports as X
+from cohortline.operators import reshape as R
+from cohortline.operators import sampling as G
 from cohortline.operators import scores as A
+from cohortline.operators import splits as V
 from cohortline.operators import static as S
 from cohortline.operators import yearly as Y
+from cohortline.plans import dataset as D
+from cohortline.plans import models as M
+from cohortline.plans import sweep as W
+from cohortline.sources import results, shared
+from cohortline.sources import tables as B
 
 
 class District:
@@ -25,6 +37,7 @@ class District:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        self.sf_dir = sf_dir
         self.raw = Tables(spark, sf_dir)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -79,6 +92,77 @@ class District:
         )
 
 
+    @cached_property
+    def latest(self) -> DataFrame:
+        return D.latest_yearly_features(
+            self.cby, self["school_attendance"], self["discipline_temp"], self["course_enrollment"], self["course"],
+            self.enrollment, self["school"], attendance_from=ATTENDANCE_FROM, incidents_between=INCIDENTS_BETWEEN,
+            categories=CATEGORIES,
+        )
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return R.extract_features(
+            self.static.drop(*O.STATIC_DROPPED), self.latest, O.TIMES, ties=["current_school_id"], vocabulary=O.VOCABULARY
+        )
+
+    @cached_property
+    def dataset(self) -> DataFrame:
+        return D.build_dataset(
+            self.static, self.latest, self.label, O.TIMES, dropped=O.STATIC_DROPPED, ties=["current_school_id"],
+            vocabulary=O.VOCABULARY,
+        )
+
+    @cached_property
+    def saved(self) -> DataFrame:
+        """The dataset, written once per session and test-data directory."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in SAVED:
+            SAVED[key] = shared.new_path(self.spark, "dataset")
+        return B.cached(self.spark, SAVED[key], lambda: self.dataset)
+
+    @cached_property
+    def splits(self) -> DataFrame:
+        return V.temporal_splits(self.saved)
+
+    @cached_property
+    def usable(self) -> DataFrame:
+        return V.usable_splits(self.saved, self.splits)
+
+    def folds(self, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+        """Imputed train and test rows of one split."""
+        kept = self.saved.select("student_id", "label", "cohort", *[F.col(f"`{c}`") for c in columns])
+        return I.impute(kept.where(F.col("cohort") <= O.TRAIN), kept.where(F.col("cohort") >= O.TEST), columns)
+
+    def assembled(self, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+        train, test = self.folds(columns)
+        return M.assemble(train, columns), M.assemble(test, columns)
+
+    @cached_property
+    def minority(self) -> DataFrame:
+        values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in O.SMOTE_COLUMNS])
+        return self.saved.where("label = 1").select("student_id", values.alias("features"))
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        """The feature catalog, written as CSV with a header and loaded back."""
+        path = shared.new_path(self.spark, "catalog")
+        rows = self.spark.createDataFrame(O.CATALOG, B.CATALOG_SCHEMA)
+        B.write_table(rows.coalesce(1), path, fmt="csv")
+        return B.load_feature_catalog(self.spark, path)
+
+    @cached_property
+    def coverage(self) -> DataFrame:
+        """Non-null values per feature of the static and yearly tables."""
+        def counted(df: DataFrame, names: list[str]) -> DataFrame:
+            one = df.agg(*[F.count(n).alias(n) for n in names])
+            return one.unpivot([], names, "feature_name", "n_values")
+
+        static = ["gender", "race", "race_ethnicity", "home_language_code", *O.STATIC_VALUES]
+        return counted(self.static, static).unionByName(counted(self.latest, O.YEARLY_VALUES))
+
+
+SAVED: dict[tuple[str, str], str] = {}
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -101,6 +185,13 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
 
+def rounded_all(df: DataFrame) -> DataFrame:
+    """Round every double column for comparison."""
+    return df.select(*[
+        F.round(F.col(f"`{n}`"), 6).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes
+    ])
+
+
 def text_date(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("string") for n in names})
 
@@ -199,3 +290,212 @@ query("profile_grade_moves")(lambda d: P.grade_moves(d.enrollment, d["school"]))
 query("profile_enrollment_schools")(lambda d: P.enrollment_schools(d.enrollment, d["school"]))
 query("enrollment_summary")(lambda d: P.enrollment_summary(d.enrollment))
 query("enrollment_summary_by_year")(lambda d: P.enrollment_summary_by_year(d.enrollment))
+
+
+# dataset
+query("dedup_last")(lambda d: rounded_all(R.dedup_last(
+    d.yearly, ["student_id", "grade_level"], ["academic_year"], ["current_school_id"])))
+query("pivot_by_grade")(lambda d: rounded_all(R.pivot_by_time(d.latest.drop("cohort", "academic_year"), O.TIMES)))
+query("one_hot")(lambda d: rounded_all(text_date(R.one_hot(d.static), "date_of_birth")))
+query("features_merged")(lambda d: rounded_all(d.features))
+query("labelled_instances")(lambda d: rounded_all(text_date(
+    R.extract_instances(d.static, R.labelled(d.label)), "date_of_birth")))
+query("dataset")(lambda d: rounded_all(d.dataset))
+query("dataset_cache")(lambda d: rounded_all(d.saved))
+
+
+@query("load_units")
+def _load_units(d: District) -> DataFrame:
+    root = shared.new_path(d.spark, "districts")
+    B.save_district(root, "standin", cohort=d.cohort, static=d.static, yearly=d.latest, label=d.label)
+    loaded = B.load_district(d.spark, "standin", root)
+    parts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.countDistinct("student_id").alias("units"))
+        for name, df in (("cohort", loaded.cohort), ("static", loaded.static), ("yearly", loaded.yearly), ("label", loaded.label))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+# splits and feature sets
+query("temporal_splits")(lambda d: d.splits)
+query("split_membership")(lambda d: V.split_membership(d.saved, d.splits))
+query("split_class_counts")(lambda d: V.split_class_counts(d.saved, d.splits))
+query("usable_splits")(lambda d: d.usable)
+query("features_asof_grade")(lambda d: rounded_all(d.saved.select(
+    "student_id", *[F.col(f"`{c}`") for c in V.features_asof(R.feature_columns(d.saved), O.ASOF_GRADE)])))
+query("feature_catalog")(lambda d: d.catalog.join(d.coverage, "feature_name"))
+
+
+@query("feature_sets")
+def _feature_sets(d: District) -> DataFrame:
+    members = d.catalog.where("exclude_when_modeling = 0").select(
+        "feature_name", F.col("feature_category_primary").alias("category"))
+    return V.feature_sets(d.catalog).join(members, "category").join(d.coverage, "feature_name").groupBy(
+        "feature_set", "category").agg(F.sum("n_values").alias("n_values"))
+
+
+@query("feature_set_members")
+def _feature_set_members(d: District) -> DataFrame:
+    columns = R.feature_columns(d.saved)
+    rows = d.catalog.collect()
+    sets: dict[str, list[str]] = {}
+    for r in V.feature_sets(d.catalog).collect():
+        sets.setdefault(r["feature_set"], []).append(r["category"])
+    pairs = [(s, c) for s, cats in sets.items() for c in V.feature_set_columns(rows, columns, cats)]
+    members = d.spark.createDataFrame(pairs, "feature_set string, column_name string")
+    counts = d.saved.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).unpivot(
+        [], [F.col(f"`{c}`") for c in columns], "column_name", "n_values")
+    return members.join(counts, "column_name")
+
+
+# imputation and sampling
+@query("imputed_mean")
+def _imputed_mean(d: District) -> DataFrame:
+    train, test = d.folds(O.X)
+    both = train.withColumn("fold", F.lit("train")).unionByName(test.withColumn("fold", F.lit("test")))
+    return rounded_all(both.drop("cohort"))
+
+
+@query("imputed_mode")
+def _imputed_mode(d: District) -> DataFrame:
+    kept = d.static.select("student_id", *O.MODE_COLUMNS, *[F.col(c).cast("double").alias(c) for c in O.MEAN_COLUMNS])
+    return rounded_all(I.fill(kept, I.fit_fill(kept, [*O.MODE_COLUMNS, *O.MEAN_COLUMNS])))
+
+
+@query("assembled")
+def _assembled(d: District) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    v = vector_to_array("features")
+    total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+    return d.assembled(O.X)[0].select(
+        "student_id", "label", F.size(v).alias("n_features"), F.round(total, 4).alias("feature_sum"))
+
+
+query("subsample")(lambda d: G.subsample(d.saved.select("student_id", "cohort", "label"), O.RATIO))
+query("subsample_by_cohort")(lambda d: G.subsample(
+    d.saved.select("student_id", "cohort", "label"), 2.0, by=["cohort"], seed=7))
+query("stratified_kfold")(lambda d: G.stratified_kfold(d.saved.select("student_id", "label"), 5))
+query("smote_neighbours")(lambda d: rounded_all(N.nearest_neighbours(d.minority, 4)))
+query("smote")(lambda d: rounded_all(N.smote(d.minority, 200, 5).select(
+    "student_id", "copy", "neighbour", *[F.col("features")[i].alias(f"x{i}") for i in range(len(O.SMOTE_COLUMNS))])))
+
+
+@query("dummy_baseline")
+def _dummy(d: District) -> DataFrame:
+    rows = d.saved.select("student_id", "label", "cohort")
+    train, test = rows.where(F.col("cohort") <= O.TRAIN), rows.where(F.col("cohort") >= O.TEST)
+    a, b = (M.dummy_scores(train, test, s).withColumn("strategy", F.lit(s)) for s in ("stratified", "uniform"))
+    return a.unionByName(b)
+
+
+# sweep tables
+def _configs(d: District) -> DataFrame:
+    sets = d.spark.createDataFrame([(W.ALL,)], "feature_set string")
+    return W.sweep_configs(d.usable, sets, W.modifier_grid(d.spark, W.ALL_MODIFIERS), W.model_grid(d.spark)).select(
+        "grade", "test", "train", "learner", "model", "params", "features", "subsample", "smote", "imputation", "summary_hash")
+
+
+query("sweep_configs")(_configs)
+query("config_hash")(lambda d: _configs(d).groupBy("summary_hash").agg(F.count(F.lit(1)).alias("n")))
+query("model_grid")(lambda d: _configs(d).groupBy("model", "params").agg(F.count(F.lit(1)).alias("n_fits")))
+
+
+@query("modifier_grid")
+def _modifier_grid(d: District) -> DataFrame:
+    """Training class sizes of every split before and after every modifier combination."""
+    counts = V.split_class_counts(d.saved, d.splits).where("fold = 'train'").groupBy("grade", "train", "test").agg(
+        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("zeros"),
+        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("ones"))
+    options = W.modifier_grid(d.spark, W.ALL_MODIFIERS).agg(
+        F.collect_list(F.struct("subsample", "smote", "imputation")).alias("o")).withColumn("one", F.lit(1))
+    after = F.col("ones") + F.floor(F.col("ones") * F.coalesce(F.col("smote"), F.lit(0)) / 100)
+    kept = F.least(F.col("zeros"), F.floor(F.col("subsample") * after))
+    return (
+        d.usable.join(counts, ["grade", "train", "test"]).withColumn("one", F.lit(1)).join(options, "one")
+        .select("grade", "train", "test", "zeros", "ones", F.explode("o").alias("o"))
+        .select("grade", "train", "test", "zeros", "ones", "o.*")
+        .withColumn("ones_after", after)
+        .withColumn("zeros_after", F.when(F.col("subsample").isNull(), F.col("zeros")).otherwise(kept))
+    )
+
+
+# metrics on a scored table
+def _predictions(d: District) -> DataFrame:
+    return d["predictions"]
+
+
+query("confusion_metrics")(lambda d: rounded_all(E.confusion(_predictions(d))))
+query("brier")(lambda d: rounded_all(E.brier(_predictions(d))))
+query("roc_points")(lambda d: rounded_all(E.roc_points(_predictions(d))))
+query("pr_points")(lambda d: rounded_all(E.pr_points(_predictions(d))))
+query("roc_auc")(lambda d: rounded_all(E.roc_auc(_predictions(d))))
+query("pr_auc")(lambda d: rounded_all(E.pr_auc(_predictions(d))))
+query("precision_at_k")(lambda d: rounded_all(E.precision_at_k(_predictions(d))))
+query("ap_at_k")(lambda d: rounded_all(E.ap_at_k(_predictions(d))))
+query("ap_at_k_ranked")(lambda d: rounded_all(E.ap_at_k_ranked(_predictions(d))))
+query("risk_list")(lambda d: E.risk_list(_predictions(d), O.RISK_K))
+query("evaluate")(lambda d: rounded_all(E.evaluate(_predictions(d))))
+
+
+# sinks, checked by reading back
+@query("csv_roundtrip")
+def _csv_roundtrip(d: District) -> DataFrame:
+    source, csv, target = d["graduates"], shared.new_path(d.spark, "csv"), shared.new_path(d.spark, "table")
+    B.write_table(source, csv, fmt="csv")
+    B.csv_to_table(d.spark, csv, target, source.schema)
+    return d.spark.read.parquet(target)
+
+
+@query("table_sink_modes")
+def _table_sink_modes(d: District) -> DataFrame:
+    target, rows = shared.new_path(d.spark, "table"), d["graduates"]
+    types = {"academic_year": "bigint"}
+    for mode, mark in (("fail", 0), ("replace", 1), ("append", 2)):
+        B.write_table(rows.withColumn("written", F.lit(mark)), target, mode, types)
+    return d.spark.read.parquet(target)
+
+
+@query("summary_append_once")
+def _summary_append_once(d: District) -> DataFrame:
+    path, rows = shared.new_path(d.spark, "summary"), rounded_all(E.evaluate(_predictions(d)))
+    results.append_once(rows.where("summary_hash = 1"), path)
+    results.append_once(rows, path)
+    return results.append_once(rows, path)
+
+
+@query("predictions_partitioned")
+def _predictions_partitioned(d: District) -> DataFrame:
+    path = shared.new_path(d.spark, "predictions")
+    rows = _predictions(d).withColumns({
+        "summary_hash": F.sha1(F.col("summary_hash").cast("string")), "grade": F.lit(9), "test": F.lit(2002),
+        "train": F.lit(1999), "model": F.lit("given")})
+    results.write_predictions(rows, path)
+    return results.write_predictions(rows, path)
+
+
+# learners: no exact expectation, rows only
+def _scores(d: District, name: str, params: dict, columns: list[str] | None = None) -> DataFrame:
+    train, test = d.assembled(O.X if columns is None else columns)
+    return M.fit_score(train.persist(), test, name, params)
+
+
+COUNTS = [c for c in O.X if c.startswith("grade_level_") and ("mark_is" in c or "course" in c or "disc_" in c)]
+FOREST = {"n_estimators": 50, "criterion": "entropy", "max_features": None, "max_depth": 3, "bootstrap": True, "random_state": 0}
+query("rf_scores")(lambda d: _scores(d, "random_forest", FOREST))
+query("dt_scores")(lambda d: _scores(d, "decision_tree", {"criterion": "gini", "max_features": None, "max_depth": 5}))
+query("gbt_scores")(lambda d: _scores(
+    d, "gradient_boosting", {"learning_rate": 0.1, "n_estimators": 5, "max_depth": 3, "subsample": 0.5, "max_features": "sqrt"}))
+query("lr_scores")(lambda d: _scores(d, "logistic_regression", {"penalty": "l2", "C": 0.01}))
+query("nb_scores")(lambda d: _scores(d, "naive_bayes", {"alpha": 0.1}, COUNTS))
+query("feature_importance")(lambda d: E.feature_importance(
+    M.fit(d.assembled(O.X)[0].persist(), "random_forest", FOREST), O.X))
+
+
+def _sweep(d: District) -> tuple[DataFrame, DataFrame]:
+    splits = V.temporal_splits(d.saved, test_cohorts=[O.TEST])
+    grid = {"dummy": M.GRIDS["dummy"], "random_forest": M.FOREST_VERY_BEST}
+    return W.sweep(d.saved, R.feature_columns(d.saved), shared.new_path(d.spark, "sweep"), splits, grid)
+
+
+query("sweep_summary")(lambda d: _sweep(d)[0])
