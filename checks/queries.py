@@ -130,13 +130,10 @@ class District:
         return V.usable_splits(self.saved, self.splits)
 
     def folds(self, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-        """Imputed train and test rows of one split."""
-        kept = self.saved.select("student_id", "label", "cohort", *[F.col(f"`{c}`") for c in columns])
-        return I.impute(kept.where(F.col("cohort") <= O.TRAIN), kept.where(F.col("cohort") >= O.TEST), columns)
-
-    def assembled(self, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-        train, test = self.folds(columns)
-        return M.assemble(train, columns), M.assemble(test, columns)
+        """Imputed feature arrays of the train and test rows of one split."""
+        rows = M.assemble(self.saved, columns, extra=["cohort"])
+        return M.impute_arrays(
+            rows.where(F.col("cohort") <= O.TRAIN), rows.where(F.col("cohort") >= O.TEST), len(columns))
 
     @cached_property
     def minority(self) -> DataFrame:
@@ -353,7 +350,9 @@ def _feature_set_members(d: District) -> DataFrame:
 def _imputed_mean(d: District) -> DataFrame:
     train, test = d.folds(O.X)
     both = train.withColumn("fold", F.lit("train")).unionByName(test.withColumn("fold", F.lit("test")))
-    return rounded_all(both.drop("cohort"))
+    return both.select(
+        "student_id", F.col("label").cast("int").alias("label"), "fold",
+        *[F.round(F.col("features")[i], 6).alias(c) for i, c in enumerate(O.X)])
 
 
 @query("imputed_mode")
@@ -368,7 +367,7 @@ def _assembled(d: District) -> DataFrame:
 
     v = vector_to_array("features")
     total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
-    return d.assembled(O.X)[0].select(
+    return M.vectors(d.folds(O.X)[0]).select(
         "student_id", "label", F.size(v).alias("n_features"), F.round(total, 4).alias("feature_sum"))
 
 
@@ -476,8 +475,8 @@ def _predictions_partitioned(d: District) -> DataFrame:
 
 # learners: no exact expectation, rows only
 def _scores(d: District, name: str, params: dict, columns: list[str] | None = None) -> DataFrame:
-    train, test = d.assembled(O.X if columns is None else columns)
-    return M.fit_score(train.persist(), test, name, params)
+    train, test = d.folds(O.X if columns is None else columns)
+    return M.fit_score(M.vectors(train).persist(), M.vectors(test), name, params)
 
 
 COUNTS = [c for c in O.X if c.startswith("grade_level_") and ("mark_is" in c or "course" in c or "disc_" in c)]
@@ -489,7 +488,7 @@ query("gbt_scores")(lambda d: _scores(
 query("lr_scores")(lambda d: _scores(d, "logistic_regression", {"penalty": "l2", "C": 0.01}))
 query("nb_scores")(lambda d: _scores(d, "naive_bayes", {"alpha": 0.1}, COUNTS))
 query("feature_importance")(lambda d: E.feature_importance(
-    M.fit(d.assembled(O.X)[0].persist(), "random_forest", FOREST), O.X))
+    M.fit(M.vectors(d.folds(O.X)[0]).persist(), "random_forest", FOREST), O.X))
 
 
 def _sweep(d: District) -> tuple[DataFrame, DataFrame]:

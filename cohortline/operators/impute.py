@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,32 @@ def fit_means(df: DataFrame, columns: Sequence[str]) -> Fill:
     return {c: 0.0 if row[c] is None else row[c] for c in columns}
 
 
+def feature_array(columns: Sequence[str], types: dict[str, str]) -> Column:
+    """The columns as one array of doubles (booleans as 0/1), nulls kept."""
+    return F.array(*[
+        (F.col(f"`{c}`").cast("int") if types[c] == "boolean" else F.col(f"`{c}`")).cast("double") for c in columns
+    ])
+
+
+def array_means(df: DataFrame, size: int, features: str = "features") -> list[float]:
+    """Mean of every array position; 0 for a position without values.
+
+    Positions become rows and are pre-aggregated per task, so the plan stays the
+    same size however many features there are."""
+    rows = df.select(F.posexplode(features)).groupBy("pos").agg(F.avg("col").alias("mean")).collect()
+    means = [0.0] * size
+    for r in rows:
+        means[r["pos"]] = 0.0 if r["mean"] is None else r["mean"]
+    return means
+
+
+def fill_array(df: DataFrame, means: Sequence[float], features: str = "features") -> DataFrame:
+    """Replace nulls of the array by the mean of their position."""
+    return df.withColumn(
+        features, F.zip_with(features, F.lit(list(means)), lambda x, m: F.coalesce(x, m))
+    )
+
+
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> Fill:
     """Most frequent value of every column, the smallest among equals.
 

@@ -33,9 +33,13 @@ def pivot_by_time(df: DataFrame, times: Sequence[int], values: Sequence[str] | N
     must be unique per (unit, step)."""
     skip = {roles.unit, roles.time}
     values = [c for c in df.columns if c not in skip] if values is None else list(values)
-    at = {t: F.col(roles.time) == t for t in times}
-    return df.groupBy(roles.unit).agg(
-        *[F.max(F.when(at[t], F.col(v))).alias(f"{roles.time}_{t}_{v}") for v in values for t in times]
+    # One struct per step instead of one aggregate per step and feature.
+    record = F.struct(*values)
+    steps = df.groupBy(roles.unit).agg(
+        *[F.max(F.when(F.col(roles.time) == t, record)).alias(f"_{t}") for t in times]
+    )
+    return steps.select(
+        roles.unit, *[F.col(f"_{t}.{v}").alias(f"{roles.time}_{t}_{v}") for v in values for t in times]
     )
 
 

@@ -13,12 +13,12 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.hashing import uniform
+from cohortline.operators.impute import array_means, feature_array, fill_array
 from cohortline.roles import DEFAULT, Roles
 
 Grid = Mapping[str, Mapping[str, Sequence]]
@@ -138,15 +138,25 @@ def learner(name: str, params: Mapping, train_rows: int = 1, roles: Roles = DEFA
 
 
 def assemble(df: DataFrame, columns: Sequence[str], roles: Roles = DEFAULT, extra: Iterable[str] = ()) -> DataFrame:
-    """Unit, label and one feature vector; a missing value is an error."""
-    safe = df.select(
+    """Unit, label and one array of features, nulls kept for imputation."""
+    return df.select(
         roles.unit, F.col(roles.label).cast("double").alias(roles.label), *extra,
-        *[F.col(f"`{c}`").cast("double").alias(f"_f{i}") for i, c in enumerate(columns)],
+        feature_array(columns, dict(df.dtypes)).alias("features"),
+    )
+
+
+def impute_arrays(train: DataFrame, test: DataFrame, size: int, per_fold: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Mean imputation of both folds from the training fold (or each from itself)."""
+    means = array_means(train, size)
+    return fill_array(train, means), fill_array(test, array_means(test, size) if per_fold else means)
+
+
+def vectors(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
+    """Feature arrays as ML vectors; a missing value is an error."""
+    complete = F.when(~F.exists("features", lambda x: x.isNull()), F.col("features")).otherwise(
+        F.raise_error(F.lit("features contain a missing value"))
     )
-    made = VectorAssembler(
-        inputCols=[f"_f{i}" for i in range(len(columns))], outputCol="features", handleInvalid="error"
-    ).transform(safe)
-    return made.select(roles.unit, roles.label, *extra, "features")
+    return df.select(roles.unit, roles.label, array_to_vector(complete).alias("features"))
 
 
 def _scored(df: DataFrame, pred, prob, roles: Roles) -> DataFrame:
