@@ -13,16 +13,17 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own: on a
     cluster a machine-local folder would be lost with its executor."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    current = context.getCheckpointDir()
+    if named is None and current is not None:
+        return current
     if named is None:
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="cohortline-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if current is None:
+        context.setCheckpointDir(named)
     return named
 
 
