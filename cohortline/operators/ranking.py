@@ -14,21 +14,30 @@ from cohortline.sources.shared import durable
 SINGLE_TASK_ROWS = 2_000_000
 
 
+def group_sizes(counts: DataFrame) -> tuple[int, int]:
+    """(largest, total) of a table of group counts `n`."""
+    row = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    return row["largest"] or 0, row["total"] or 0
+
+
 def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column],
-                   single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                   single_task_rows: int = SINGLE_TASK_ROWS, size: tuple[int, int] | None = None) -> DataFrame:
     """Add inclusive running sums in the given order within each `by` group.
 
     The order must be total within a group. Groups up to `single_task_rows` use
     a plain window. If any group is larger, rows are range-partitioned by group
     and order, so a hot group spreads over many tasks: each task sums its own
     range and adds the totals of the ranges before it. The placement is made
-    durable first, because both passes must see the same ranges."""
-    size = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("all")).first()
-    if (size["largest"] or 0) <= single_task_rows:
+    durable first, because both passes must see the same ranges. `size` is an
+    upper bound of (rows of the largest group, all rows) where the caller knows one."""
+    if size is None:
+        size = group_sizes(df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")))
+    largest, rows = size
+    if largest <= single_task_rows:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
 
-    ranges = max(2, math.ceil(2 * size["all"] / single_task_rows))
+    ranges = max(2, math.ceil(2 * rows / single_task_rows))
     placed = durable(
         df.withColumns({f"_{n}": c for n, c in sums.items()})
         .repartitionByRange(ranges, *[F.col(b) for b in by], *order)

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from checks.compare import session
 
-    s = session("4")
+    s = session("8")
     s.conf.set("spark.sql.shuffle.partitions", "4")
     return s
 

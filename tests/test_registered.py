@@ -7,11 +7,8 @@ from checks.compare import duck_rows, spark_rows
 from conftest import SF
 
 CHECKED = """
-first_enrollment transfer_out cohort cohort_by_year enrollment_rn_ct last_enrollment enrollment_jumps label labels2
-cohort_feature first_model_table absence_by_offset yf_absences yf_discipline yf_courses yf_v0 xtab_continued_enrollment
-xtab_only_grade10 xtab_outcome xtab_cohort_size xtab_school_by_year profile_distinct profile_grade_moves profile_years_in_hs
-enrollment_summary_by_year dataset split_class_counts imputed_mode subsample stratified_kfold smote_neighbours smote
-sweep_configs evaluate predictions_partitioned summary_append_once
+cohort label labels2 cohort_feature yf_absences yf_discipline yf_courses xtab_continued_enrollment xtab_school_by_year
+profile_grade_moves split_class_counts subsample smote sweep_configs evaluate
 """.split()
 
 

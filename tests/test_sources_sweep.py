@@ -163,8 +163,8 @@ def test_resampled_training_sets(instances):
 
 
 def test_sweep_is_complete_and_restartable(spark, instances, tmp_path):
-    splits = V.temporal_splits(instances, grades=[10, 11], test_cohorts=[2003])
-    grid = {"dummy": M.GRIDS["dummy"], "logistic_regression": {"penalty": ["l2"], "C": [1]}}
+    splits = V.temporal_splits(instances, grades=[10], test_cohorts=[2003])
+    grid = {"dummy": M.GRIDS["dummy"], "naive_bayes": {"alpha": [0.1]}}
     columns = ["a", "b", "grade_level_12_late"]
     path = str(tmp_path / "sweep")
     summary, predictions = W.sweep(instances, columns, path, splits, grid)
@@ -172,8 +172,8 @@ def test_sweep_is_complete_and_restartable(spark, instances, tmp_path):
     assert summary.count() == configs and predictions.count() == configs * 100
     assert summary.columns == [*W.SUMMARY_COLUMNS, *[f"{p}@{k}" for p in ("pre", "ap") for k in TOP_K], "baseline"]
     assert summary.where("baseline").count() == splits.count() * 2
-    one = summary.where("model = 'LogisticRegression'").first()
-    assert json.loads(one["params"]) == {"C": 1, "penalty": "l2"} and one["features"] == "all"
+    one = summary.where("model = 'MultinomialNB'").first()
+    assert json.loads(one["params"]) == {"alpha": 0.1} and one["features"] == "all"
     again, same = W.sweep(instances, columns, path, splits, grid)
     assert again.count() == configs and same.count() == configs * 100
 
