@@ -59,6 +59,11 @@ class District:
     def cby(self) -> DataFrame:
         return K.cohort_by_year(self.enrollment, self.cohort)
 
+    @cached_property
+    def steps(self) -> DataFrame:
+        """Distinct unit-by-year rows, for what repeated records cannot change."""
+        return K.cohort_by_year(self.enrollment, self.cohort, distinct=True)
+
     @cached_property
     def base(self) -> DataFrame:
         return Y.yearly_base(self.cby)
@@ -95,7 +100,7 @@ class District:
     @cached_property
     def latest(self) -> DataFrame:
         return D.latest_yearly_features(
-            self.cby, self["school_attendance"], self["discipline_temp"], self["course_enrollment"], self["course"],
+            self.steps, self["school_attendance"], self["discipline_temp"], self["course_enrollment"], self["course"],
             self.enrollment, self["school"], attendance_from=ATTENDANCE_FROM, incidents_between=INCIDENTS_BETWEEN,
             categories=CATEGORIES,
         )
@@ -184,9 +189,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 def rounded_all(df: DataFrame) -> DataFrame:
     """Round every double column for comparison."""
-    return df.select(*[
-        F.round(F.col(f"`{n}`"), 6).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes
-    ])
+    return df.selectExpr(*[f"round(`{n}`, 6) as `{n}`" if t == "double" else f"`{n}`" for n, t in df.dtypes])
 
 
 def text_date(df: DataFrame, *names: str) -> DataFrame:
@@ -206,7 +209,7 @@ query("cohort_by_year_v0")(lambda d: K.cohort_by_year_v0(d.enrollment, d.cohort_
 query("first_grade9")(lambda d: d.first9)
 query("last_enrollment")(lambda d: K.last_enrollment(d.enrollment))
 query("last_withdrawal")(lambda d: text_date(K.last_withdrawal(d["outcome"]), "withdraw_date"))
-query("enrollment_jumps")(lambda d: K.enrollment_jumps(d.cby))
+query("enrollment_jumps")(lambda d: K.enrollment_jumps(d.steps))
 
 # labels
 query("grad_label")(lambda d: d.grad)
@@ -258,9 +261,9 @@ query("yf_v0")(lambda d: Y.yearly_features_v0(
     d["school"], attendance_from=ATTENDANCE_FROM, incidents_between=INCIDENTS_BETWEEN))
 
 # reports
-query("xtab_continued_enrollment")(lambda d: X.continued_enrollment(d.cby, d.label))
-query("xtab_only_grade9")(lambda d: X.only_grade9(d.cby, d.label))
-query("xtab_only_grade10")(lambda d: X.only_grade10(d.cby, d.label))
+query("xtab_continued_enrollment")(lambda d: X.continued_enrollment(d.steps, d.label))
+query("xtab_only_grade9")(lambda d: X.only_grade9(d.steps, d.label))
+query("xtab_only_grade10")(lambda d: X.only_grade10(d.steps, d.label))
 query("xtab_outcome")(lambda d: X.outcome_by_cohort(d.label, d.cohort))
 query("xtab_outcome_12regular")(lambda d: X.outcome_12regular(d.label12, d.cohort))
 query("xtab_cohort_size")(lambda d: X.actual_vs_inferred(d.enrollment, d.cohort))
@@ -457,7 +460,7 @@ def _table_sink_modes(d: District) -> DataFrame:
 
 @query("summary_append_once")
 def _summary_append_once(d: District) -> DataFrame:
-    path, rows = shared.new_path(d.spark, "summary"), rounded_all(E.evaluate(_predictions(d)))
+    path, rows = shared.new_path(d.spark, "summary"), shared.durable(rounded_all(E.evaluate(_predictions(d))))
     results.append_once(rows.where("summary_hash = 1"), path)
     results.append_once(rows, path)
     return results.append_once(rows, path)

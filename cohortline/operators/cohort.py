@@ -114,16 +114,21 @@ def cohort_all_units(person: DataFrame, enrollment: DataFrame, roles: Roles = DE
 
 
 def cohort_by_year(enrollment: DataFrame, cohorts: DataFrame, roles: Roles = DEFAULT,
-                   grades: range = ALL_GRADES, code: str = "current_grade_level", unique: bool = False) -> DataFrame:
+                   grades: range = ALL_GRADES, code: str = "current_grade_level", unique: bool = False,
+                   distinct: bool = False) -> DataFrame:
     """Active enrollment records of units that have a cohort.
 
-    Several records in one year all stay, as downstream fan-out depends on them;
-    `unique=True` keeps one row per (unit, year), with the highest grade."""
+    Several records in one year all stay by default, as the yearly tables fan out
+    with them. `distinct=True` keeps equal rows once and `unique=True` one row
+    per (unit, year), with the highest grade; both reduce the records before the
+    join, so a unit with very many records joins with a few."""
     records = enrollment.where(C.in_grades(grades, roles.time, code) & C.is_true("active_status")).select(
         roles.unit, roles.year, C.grade_value(roles.time, code).alias(roles.time)
     )
     if unique:
         records = records.groupBy(roles.unit, roles.year).agg(F.max(roles.time).alias(roles.time))
+    elif distinct:
+        records = records.distinct()
     members = cohorts.where(F.col(roles.cohort).isNotNull()).select(roles.unit, roles.cohort)
     return records.join(members, roles.unit).select(roles.unit, roles.cohort, roles.year, roles.time)
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortline.functions.columns import quoted
+
 Fill = dict[str, float | str]
 
 
@@ -30,9 +32,8 @@ def fit_means(df: DataFrame, columns: Sequence[str]) -> Fill:
 
 def feature_array(columns: Sequence[str], types: dict[str, str]) -> Column:
     """The columns as one array of doubles (booleans as 0/1), nulls kept."""
-    return F.array(*[
-        (F.col(f"`{c}`").cast("int") if types[c] == "boolean" else F.col(f"`{c}`")).cast("double") for c in columns
-    ])
+    values = [f"cast({quoted(c)} as int)" if types[c] == "boolean" else quoted(c) for c in columns]
+    return F.expr("array(" + ", ".join(f"cast({v} as double)" for v in values) + ")")
 
 
 def array_means(df: DataFrame, size: int, features: str = "features") -> list[float]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortline.functions.columns import quoted, text_literal
 from cohortline.roles import DEFAULT, Roles
 
 Vocabulary = dict[str, list[str]]
@@ -38,8 +39,9 @@ def pivot_by_time(df: DataFrame, times: Sequence[int], values: Sequence[str] | N
     steps = df.groupBy(roles.unit).agg(
         *[F.max(F.when(F.col(roles.time) == t, record)).alias(f"_{t}") for t in times]
     )
-    return steps.select(
-        roles.unit, *[F.col(f"_{t}.{v}").alias(f"{roles.time}_{t}_{v}") for v in values for t in times]
+    return steps.selectExpr(
+        quoted(roles.unit),
+        *[f"`_{t}`.{quoted(v)} as {quoted(f'{roles.time}_{t}_{v}')}" for v in values for t in times],
     )
 
 
@@ -70,11 +72,11 @@ def one_hot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]] | None = None
             columns: Sequence[str] | None = None) -> DataFrame:
     """Replace each column by 0/1 columns `<column>_<value>`; null gives all zeros."""
     vocabulary = fit_vocabulary(df, columns) if vocabulary is None else vocabulary
-    kept = [F.col(c) for c in df.columns if c not in vocabulary]
+    kept = [quoted(c) for c in df.columns if c not in vocabulary]
     dummies = [
-        F.when(F.col(c) == v, F.lit(1)).otherwise(F.lit(0)).alias(f"{c}_{v}") for c, vs in vocabulary.items() for v in vs
+        f"cast({quoted(c)} <=> {text_literal(v)} as int) as {quoted(f'{c}_{v}')}" for c, vs in vocabulary.items() for v in vs
     ]
-    return df.select(*kept, *dummies)
+    return df.selectExpr(*kept, *dummies)
 
 
 def extract_features(static: DataFrame, yearly: DataFrame, times: Sequence[int], roles: Roles = DEFAULT,
