@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.operators import yearly as Y
@@ -17,6 +17,9 @@ from cohortline.operators.reshape import (
     string_columns,
 )
 from cohortline.roles import DEFAULT, Roles
+from cohortline.sources.tables import cached, load_district
+
+MAX_STEPS = 100
 
 
 def latest_yearly_features(cby: DataFrame, attendance: DataFrame, incidents: DataFrame, taken: DataFrame,
@@ -56,3 +59,28 @@ def dataset_vocabulary(static: DataFrame, yearly: DataFrame, times: Sequence[int
         F.when(F.col(roles.time) == t, F.col(c)).alias(f"{roles.time}_{t}_{c}") for c in text for t in times
     ])
     return {**fit_vocabulary(static.drop(roles.unit, *dropped)), **fit_vocabulary(per_step)}
+
+
+def observed_steps(yearly: DataFrame, roles: Roles = DEFAULT) -> list[int]:
+    """Distinct steps of the yearly table; they become column names, so there must be few."""
+    rows = yearly.select(roles.time).where(F.col(roles.time).isNotNull()).distinct().limit(MAX_STEPS + 1).collect()
+    if len(rows) > MAX_STEPS:
+        raise ValueError(f"more than {MAX_STEPS} steps in {roles.time}")
+    return sorted(r[0] for r in rows)
+
+
+def fetch_data(spark: SparkSession, district: str, root: str | None = None, jdbc: Mapping[str, str] | None = None,
+               cache: str | None = None, times: Sequence[int] | None = None, roles: Roles = DEFAULT,
+               dropped: Sequence[str] = (), ties: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
+    """(dataset, feature catalog) of a district's materialised feature tables.
+
+    With `cache` the dataset is written there on the first call and read
+    afterwards. Steps not given are those the yearly table shows."""
+    tables = load_district(spark, district, root, jdbc)
+
+    def build() -> DataFrame:
+        steps = observed_steps(tables.yearly, roles) if times is None else times
+        vocabulary = dataset_vocabulary(tables.static, tables.yearly, steps, roles, dropped, ties)
+        return build_dataset(tables.static, tables.yearly, tables.label, steps, roles, dropped, ties, vocabulary=vocabulary)
+
+    return (build() if cache is None else cached(spark, cache, build)), tables.catalog

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from cohortline.plans import dataset as D
 from cohortline.plans import models as M
 from cohortline.plans import sweep as W
 from cohortline.operators import splits as V
@@ -79,6 +80,26 @@ def test_predictions_keep_numeric_looking_hashes(spark, tmp_path):
     assert out.count() == 10 and {r[0] for r in out.select("summary_hash").distinct().collect()} == {"0012e4"}
 
 
+def test_fetch_data_assembles_and_caches(spark, tmp_path):
+    cohort = spark.createDataFrame([(1, 2009), (2, 2009), (3, 2010)], "student_id bigint, cohort int")
+    static = spark.createDataFrame([(1, 2009, "F", "x"), (2, 2009, "M", "y"), (3, 2010, None, "z")],
+                                   "student_id bigint, cohort int, gender string, born string")
+    yearly = spark.createDataFrame(
+        [(1, 2009, 2005, 9, 1, "a"), (1, 2009, 2006, 9, 2, "b"), (2, 2009, 2006, 10, 3, "b"), (9, 2009, 2006, 10, 4, None)],
+        "student_id bigint, cohort int, academic_year int, grade_level int, v int, area string")
+    label = spark.createDataFrame([(1, 1), (2, None), (3, 0)], "student_id bigint, outcome_label int")
+    tables.save_district(str(tmp_path), "d", cohort=cohort, static=static, yearly=yearly, label=label)
+    cache = str(tmp_path / "cache")
+    for _ in range(2):
+        data, catalog = D.fetch_data(spark, "d", str(tmp_path), cache=cache, dropped=["born"])
+        assert catalog is None
+        rows = {r["student_id"]: r.asDict() for r in data.collect()}
+        assert rows[1] == {
+            "student_id": 1, "cohort": 2009, "grade_level_9_v": 2, "grade_level_10_v": None, "gender_F": 1, "gender_M": 0,
+            "grade_level_9_area_b": 1, "grade_level_10_area_b": 0, "label": 1}
+        assert sorted(rows) == [1, 3] and rows[3]["gender_F"] == rows[3]["gender_M"] == 0
+
+
 class FakeContext:
     def __init__(self, master):
         self.master, self.dir = master, None
