@@ -409,13 +409,16 @@ def _modifier_grid(d: District) -> DataFrame:
     counts = V.split_class_counts(d.saved, d.splits).where("fold = 'train'").groupBy("grade", "train", "test").agg(
         F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("zeros"),
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("ones"))
-    options = W.modifier_grid(d.spark, W.ALL_MODIFIERS).agg(
-        F.collect_list(F.struct("subsample", "smote", "imputation")).alias("o")).withColumn("one", F.lit(1))
+    options = F.array(*[
+        F.struct(F.lit(r["subsample"]).cast("double").alias("subsample"), F.lit(r["smote"]).cast("int").alias("smote"),
+                 F.lit(r["imputation"]).alias("imputation"))
+        for r in W.modifier_grid(d.spark, W.ALL_MODIFIERS).collect()
+    ])
     after = F.col("ones") + F.floor(F.col("ones") * F.coalesce(F.col("smote"), F.lit(0)) / 100)
     kept = F.least(F.col("zeros"), F.floor(F.col("subsample") * after))
     return (
-        d.usable.join(counts, ["grade", "train", "test"]).withColumn("one", F.lit(1)).join(options, "one")
-        .select("grade", "train", "test", "zeros", "ones", F.explode("o").alias("o"))
+        d.usable.join(counts, ["grade", "train", "test"])
+        .select("grade", "train", "test", "zeros", "ones", F.explode(options).alias("o"))
         .select("grade", "train", "test", "zeros", "ones", "o.*")
         .withColumn("ones_after", after)
         .withColumn("zeros_after", F.when(F.col("subsample").isNull(), F.col("zeros")).otherwise(kept))

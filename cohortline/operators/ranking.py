@@ -59,7 +59,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], su
     )
 
 
-def _hash_bucket(keys: Sequence[str], seed: int) -> Column:
+def hash_bucket(keys: Sequence[str], seed: int) -> Column:
+    """16-bit prefix of the hash order of the keys."""
     return F.substring(digest(*keys, seed=seed), 1, 4)
 
 
@@ -67,7 +68,7 @@ def hash_bucket_counts(df: DataFrame, by: Sequence[str], keys: Sequence[str], se
     """Rows per (group, 16-bit hash prefix) and the rows of the group in lower prefixes.
 
     At most 65,536 rows per group, whatever the size of the data."""
-    counts = df.groupBy(*by, _hash_bucket(keys, seed).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(*by, hash_bucket(keys, seed).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     lower = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("_before", F.coalesce(F.sum("_n").over(lower), F.lit(0)))
 
@@ -80,7 +81,7 @@ def hash_rank(df: DataFrame, by: Sequence[str], keys: Sequence[str], seed: int =
     buckets = hash_bucket_counts(df, by, keys, seed)
     w = Window.partitionBy(*by, "_bucket").orderBy(digest(*keys, seed=seed), *keys)
     return (
-        df.withColumn("_bucket", _hash_bucket(keys, seed))
+        df.withColumn("_bucket", hash_bucket(keys, seed))
         .join(buckets, [*by, "_bucket"])
         .withColumn(name, F.row_number().over(w) + F.col("_before"))
         .drop("_bucket", "_n", "_before")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,18 @@ def fold_of(cohort: Column | str, train: Column | int, test: Column | int) -> Co
     return F.when(c >= test, "test").when(c <= train, "train")
 
 
+def one_row(**frames: DataFrame) -> DataFrame:
+    """Single-row frames with one column each, side by side in a single row.
+
+    A union and an aggregation, so no join is needed."""
+    types = {n: df.schema[n].dataType for n, df in frames.items()}
+    parts = [
+        df.select(*[F.col(m) if m == n else F.lit(None).cast(t).alias(m) for m, t in types.items()])
+        for n, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).agg(*[F.first(n, ignorenulls=True).alias(n) for n in types])
+
+
 def cohort_folds(data: DataFrame, splits: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
     """(cohort, grade, train, test, fold): what each cohort year is in each split.
 
@@ -59,7 +72,7 @@ def cohort_folds(data: DataFrame, splits: DataFrame, roles: Roles = DEFAULT) ->
     packed = splits.agg(F.collect_list(F.struct("grade", "train", "test")).alias("all"))
     years = data.agg(F.collect_set(roles.cohort).alias("years"))
     return (
-        years.withColumn("one", F.lit(1)).join(packed.withColumn("one", F.lit(1)), "one")
+        one_row(years=years, all=packed)
         .select(F.explode("years").alias(roles.cohort), "all")
         .select(roles.cohort, F.explode("all").alias("s"))
         .select(roles.cohort, "s.grade", "s.train", "s.test",
