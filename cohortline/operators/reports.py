@@ -17,6 +17,12 @@ def cohort_sizes(cohorts: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
     return cohorts.groupBy(roles.cohort).agg(F.count(F.lit(1)).alias("n"))
 
 
+def newest_first(report: DataFrame, *keys: str) -> DataFrame:
+    """A finished report by falling keys, unknown keys first. Reports are small;
+    sorting is the last step and only for reading."""
+    return report.orderBy(*[F.desc_nulls_first(k) for k in keys])
+
+
 def continued_enrollment(cby: DataFrame, labels: DataFrame, roles: Roles = DEFAULT,
                          grades: Sequence[int] = tuple(HIGH_SCHOOL)) -> DataFrame:
     """Per cohort: label rows with an outcome, and how many belong to units seen in

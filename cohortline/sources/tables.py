@@ -130,12 +130,13 @@ def save_district(root: str, district: str, if_exists: str = "replace", **tables
 
 
 def load_district(spark: SparkSession, district: str, root: str | None = None,
-                  jdbc: Mapping[str, str] | None = None) -> DistrictTables:
+                  jdbc: Mapping[str, str] | None = None, with_catalog: bool = False) -> DistrictTables:
     """Feature tables of a district from parquet below `root`, or over JDBC.
 
     `jdbc` holds reader options (url, driver, and for parallel reads
-    partitionColumn, lowerBound, upperBound, numPartitions). The catalog is
-    optional; any other missing table is an error."""
+    partitionColumn, lowerBound, upperBound, numPartitions), with `with_catalog`
+    when the feature catalog is there. Below `root` the catalog is optional; any
+    other missing table is an error."""
     if (root is None) == (jdbc is None):
         raise ValueError("give either root or jdbc")
 
@@ -146,7 +147,7 @@ def load_district(spark: SparkSession, district: str, root: str | None = None,
 
     found = {}
     for role, name in DISTRICT_TABLES.items():
-        if role == "catalog" and jdbc is not None and "catalog" not in jdbc:
+        if role == "catalog" and jdbc is not None and not with_catalog:
             found[role] = None
             continue
         found[role] = read(name)

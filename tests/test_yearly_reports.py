@@ -100,3 +100,8 @@ def test_latest_features_equal_dedup_after_fan_out(district):
     late = R.dedup_last(district.yearly, ["student_id", "grade_level"], ["academic_year"], ["current_school_id"])
     early = district.latest.select(*late.columns)
     assert early.exceptAll(late).count() == 0 and late.exceptAll(early).count() == 0
+
+
+def test_reports_can_be_read_newest_first(spark):
+    df = spark.createDataFrame([(2001,), (None,), (2003,)], "cohort_yr int")
+    assert [r[0] for r in X.newest_first(df, "cohort_yr").collect()] == [None, 2003, 2001]
