@@ -107,11 +107,11 @@ def keepers(facts: DataFrame, fan_in: int = 8) -> DataFrame:
             yield _parts(slot, _merge(entries, ones, ones), 0, fan_in)
 
     def inner(level):
-        def merge(key, t: pa.Table) -> pa.Table:
+        def merge(key, t):
             return pa.Table.from_batches([_parts(key[0].as_py(), _merge(*_read(t)), level, fan_in)])
         return merge
 
-    def last(t: pa.Table) -> pa.Table:
+    def last(t):
         entries, counts, ties = _merge(*_read(t))
         cut = lambda a, b: _small(entries[:, a:b])
         return pa.table({
