@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortline.llm.common import table
 from cohortline.llm.exact_dedup import exact_dedup
+from cohortline.llm.quality import classify, train_quality
+from cohortline.llm.simhash import near_duplicates
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +16,24 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def held_out(doc_id: Column | str) -> Column:
+    """Rows that no model may learn from."""
+    return F.crc32(F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))) % 4 == 2
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train_quality(docs, labels.filter(~held_out("doc_id")))
+    return classify(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup,)}
+    return {f.__name__: f for f in (op1_exact_dedup, op8_quality, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
