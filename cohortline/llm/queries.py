@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import table
+from cohortline.llm.decontaminate import contaminated
 from cohortline.llm.exact_dedup import exact_dedup
 from cohortline.llm.quality import classify, train_quality
 from cohortline.llm.simhash import near_duplicates
@@ -21,6 +22,11 @@ def held_out(doc_id: Column | str) -> Column:
     return F.crc32(F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))) % 4 == 2
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it holds."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train_quality(docs, labels.filter(~held_out("doc_id")))
@@ -33,7 +39,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op8_quality, op9_simhash)}
+    return {f.__name__: f for f in (op1_exact_dedup, op4_decontaminate, op8_quality, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:

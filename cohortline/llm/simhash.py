@@ -86,7 +86,7 @@ def links(prints: DataFrame, radius: int = 2, blocks: int = 4) -> DataFrame:
         "fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("block"))
     sizes = keyed.groupBy("mask", "block").agg(F.count("*").alias("n")).filter("n > 1")
     keyed = staged(keyed.join(sizes, ["mask", "block"]), "buckets")
-    few = keyed.filter(F.col("n") <= CROWDED)
+    few = keyed.filter(F.col("n") <= CROWDED).hint("merge")  # what grows with the input is never broadcast
     pairs = few.select("mask", "block", F.col("fp").alias("a")).join(
         few.select("mask", "block", F.col("fp").alias("b")), ["mask", "block"]).filter("a > b")
     pairs = pairs.filter(distance("a", "b") <= radius).select("a", "b")
@@ -101,7 +101,7 @@ def links(prints: DataFrame, radius: int = 2, blocks: int = 4) -> DataFrame:
     crowd = keyed.filter(F.col("n") > CROWDED).select("fp", "mask", F.explode(F.array_distinct(blanked)).alias("blank"))
     crowd = crowd.select("fp", "mask", "blank", F.col("fp").bitwiseAND(F.bitwise_not("blank")).alias("rest"))
     least = crowd.groupBy("mask", "blank", "rest").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).filter("b < top")
-    starred = crowd.join(least, ["mask", "blank", "rest"]).filter("fp > b").select(F.col("fp").alias("a"), "b")
+    starred = crowd.hint("merge").join(least, ["mask", "blank", "rest"]).filter("fp > b").select(F.col("fp").alias("a"), "b")
     return pairs.union(starred).distinct()
 
 
