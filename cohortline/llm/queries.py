@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from cohortline.llm.common import table
 from cohortline.llm.decontaminate import contaminated
 from cohortline.llm.exact_dedup import exact_dedup
+from cohortline.llm.packing import pack_documents
 from cohortline.llm.quality import classify, train_quality
 from cohortline.llm.simhash import near_duplicates
+from cohortline.llm.token_files import read_tokens, write_tokens
+from cohortline.llm.tokens import vocabulary
+from cohortline.sources.shared import new_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +26,21 @@ def held_out(doc_id: Column | str) -> Column:
     return F.crc32(F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))) % 4 == 2
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item that it holds."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary())
+    return read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train_quality(docs, labels.filter(~held_out("doc_id")))
@@ -39,7 +53,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op4_decontaminate, op8_quality, op9_simhash)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_packing, op4_decontaminate, op6_token_files, op8_quality, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
