@@ -119,3 +119,8 @@ def classify(docs: DataFrame, model: QualityModel, threshold: float = 0.7, id_co
     """doc_id, score, predicted (1 if the score reaches the threshold) of each row, repeated rows and null ids too."""
     return docs.select(F.col(id_col).alias("doc_id"), quality_score(model, text_col).alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_bad(docs: DataFrame, model: QualityModel, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose score reaches the threshold, with their columns."""
+    return docs.filter(quality_score(model, F.col(text_col)) >= threshold)
