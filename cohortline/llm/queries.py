@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from cohortline.llm.common import table
 from cohortline.llm.decontaminate import contaminated
 from cohortline.llm.exact_dedup import exact_dedup
+from cohortline.llm.html_tree import extract
 from cohortline.llm.packing import pack_documents
 from cohortline.llm.quality import classify, train_quality
+from cohortline.llm.secrets import find_secrets
 from cohortline.llm.simhash import near_duplicates
 from cohortline.llm.token_files import read_tokens, write_tokens
 from cohortline.llm.tokens import vocabulary
@@ -41,6 +43,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train_quality(docs, labels.filter(~held_out("doc_id")))
@@ -52,8 +58,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_packing, op4_decontaminate, op6_token_files, op8_quality, op9_simhash)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_packing, op4_decontaminate, op6_token_files, op7_secrets, op8_quality, op9_simhash,
+                                       op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
