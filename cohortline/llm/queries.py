@@ -9,6 +9,7 @@ from cohortline.llm.common import table
 from cohortline.llm.decontaminate import contaminated
 from cohortline.llm.exact_dedup import exact_dedup
 from cohortline.llm.html_tree import extract
+from cohortline.llm.licences import scan_licences
 from cohortline.llm.packing import pack_documents
 from cohortline.llm.quality import classify, train_quality
 from cohortline.llm.secrets import find_secrets
@@ -37,6 +38,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source and language are the directories."""
+    part = lambda c: F.coalesce(F.col(c), F.lit("unknown"))
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", part("source"), part("lang"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return scan_licences(docs.withColumn("path", path))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "token-files")
     write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary())
@@ -63,7 +72,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_packing, op4_decontaminate, op6_token_files, op7_secrets, op8_quality, op9_simhash,
+    return {f.__name__: f for f in (op1_exact_dedup, op3_packing, op4_decontaminate, op5_licences, op6_token_files, op7_secrets, op8_quality, op9_simhash,
                                        op10_html)}
 
 
