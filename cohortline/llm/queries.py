@@ -14,6 +14,7 @@ from cohortline.llm.packing import pack_documents
 from cohortline.llm.quality import classify, train_quality
 from cohortline.llm.secrets import find_secrets
 from cohortline.llm.simhash import near_duplicates
+from cohortline.llm.suffix_dedup import remove_repeats
 from cohortline.llm.token_files import read_tokens, write_tokens
 from cohortline.llm.tokens import vocabulary
 from cohortline.sources.shared import new_path
@@ -29,6 +30,10 @@ def held_out(doc_id: Column | str) -> Column:
     return F.crc32(F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))) % 4 == 2
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -72,8 +77,9 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_packing, op4_decontaminate, op5_licences, op6_token_files, op7_secrets, op8_quality, op9_simhash,
-                                       op10_html)}
+    return {f.__name__: f for f in (
+        op1_exact_dedup, op2_suffix_dedup, op3_packing, op4_decontaminate, op5_licences, op6_token_files, op7_secrets, op8_quality,
+        op9_simhash, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
