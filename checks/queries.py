@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,14 +108,14 @@ class District:
     @cached_property
     def features(self) -> DataFrame:
         return R.extract_features(
-            self.static.drop(*O.STATIC_DROPPED), self.latest, O.TIMES, ties=["current_school_id"], vocabulary=O.VOCABULARY
+            self.static.drop(*O.STATIC_DROPPED), self.latest, O.TIMES, ties=["current_school_id"], vocabulary=O.VOCABULARY, unique=True,
         )
 
     @cached_property
     def dataset(self) -> DataFrame:
         return D.build_dataset(
             self.static, self.latest, self.label, O.TIMES, dropped=O.STATIC_DROPPED, ties=["current_school_id"],
-            vocabulary=O.VOCABULARY,
+            vocabulary=O.VOCABULARY, unique=True,
         )
 
     @cached_property
@@ -297,6 +297,20 @@ query("dedup_last")(lambda d: rounded_all(R.dedup_last(
     d.yearly, ["student_id", "grade_level"], ["academic_year"], ["current_school_id"])))
 query("pivot_by_grade")(lambda d: rounded_all(R.pivot_by_time(d.latest.drop("cohort", "academic_year"), O.TIMES)))
 query("one_hot")(lambda d: rounded_all(text_date(R.one_hot(d.static), "date_of_birth")))
+query("one_hot_sparse")(lambda d: R.one_hot_sparse(d.static.select("student_id", *O.STATIC_VOCABULARY)).select(
+    "student_id", F.concat_ws(",", F.transform("indices", lambda i: i.cast("string"))).alias("indices")))
+
+
+@query("dataset_fitted")
+def _dataset_fitted(d: District) -> DataFrame:
+    """The dataset with the steps and the vocabulary that the tables themselves show."""
+    times = D.observed_steps(d.latest)
+    vocabulary = D.dataset_vocabulary(d.static, d.latest, times, dropped=O.STATIC_DROPPED, unique=True)
+    rows = D.build_dataset(d.static, d.latest, d.label, times, dropped=O.STATIC_DROPPED, vocabulary=vocabulary, unique=True)
+    unseen = [c for c in d.dataset.columns if c not in rows.columns]  # values that no unit shows at a step: zeros
+    return rounded_all(rows.withColumns({c: F.lit(0) for c in unseen}).select(*[F.col(f"`{c}`") for c in d.dataset.columns]))
+
+
 query("features_merged")(lambda d: rounded_all(d.features))
 query("labelled_instances")(lambda d: rounded_all(text_date(
     R.extract_instances(d.static, R.labelled(d.label)), "date_of_birth")))
@@ -307,7 +321,7 @@ query("dataset_cache")(lambda d: rounded_all(d.saved))
 @query("load_units")
 def _load_units(d: District) -> DataFrame:
     root = shared.new_path(d.spark, "districts")
-    B.save_district(root, "standin", cohort=d.cohort, static=d.static, yearly=d.latest, label=d.label)
+    B.save_district(root, "standin", cohort=d.cohort, static=d.static, yearly=d.yearly, label=d.label)
     loaded = B.load_district(d.spark, "standin", root)
     parts = [
         df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.countDistinct("student_id").alias("units"))
@@ -479,10 +493,20 @@ def _predictions_partitioned(d: District) -> DataFrame:
     return results.write_predictions(rows, path)
 
 
-# learners: no exact expectation, rows only
+# learners: what must hold for any of them
 def _scores(d: District, name: str, params: dict, columns: list[str] | None = None) -> DataFrame:
     train, test = d.folds(O.X if columns is None else columns)
-    return M.fit_score(M.vectors(train).persist(), M.vectors(test), name, params)
+    scored = M.fit_score(shared.durable(M.vectors(train)), M.vectors(test), name, params)
+    return scored.select(
+        "student_id", "y_true", F.col("y_prob").between(0, 1).alias("in_range"),
+        (F.col("y_pred") == (F.col("y_prob") > 0.5).cast("double")).alias("consistent"))
+
+
+def _planted(d: District, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both folds with the label itself as the last feature."""
+    add = lambda df: df.withColumn("features", F.concat("features", F.array(F.col("label").cast("double"))))
+    train, test = d.folds(columns)
+    return shared.durable(M.vectors(add(train))), M.vectors(add(test))
 
 
 COUNTS = [c for c in O.X if c.startswith("grade_level_") and ("mark_is" in c or "course" in c or "disc_" in c)]
@@ -494,7 +518,21 @@ query("gbt_scores")(lambda d: _scores(
 query("lr_scores")(lambda d: _scores(d, "logistic_regression", {"penalty": "l2", "C": 0.01}))
 query("nb_scores")(lambda d: _scores(d, "naive_bayes", {"alpha": 0.1}, COUNTS))
 query("feature_importance")(lambda d: E.feature_importance(
-    M.fit(M.vectors(d.folds(O.X)[0]).persist(), "random_forest", FOREST), O.X))
+    M.fit(_planted(d, O.X)[0], "decision_tree", {"criterion": "gini", "max_features": None, "max_depth": 1}), [*O.X, "planted"]))
+
+
+@query("learners_planted")
+def _learners_planted(d: District) -> DataFrame:
+    """Predicted labels where one feature is the label."""
+    train, test = _planted(d, O.X[:20])
+    params = {
+        "random_forest": FOREST, "decision_tree": {"criterion": "gini", "max_features": None, "max_depth": 5},
+        "gradient_boosting": {"learning_rate": 0.1, "n_estimators": 5, "max_depth": 3, "subsample": 1.0, "max_features": None},
+        "logistic_regression": {"penalty": "l1", "C": 1000},
+    }
+    parts = [M.fit_score(train, test, n, p).select(F.lit(n).alias("learner"), "student_id", "y_true", "y_pred")
+             for n, p in params.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _sweep(d: District) -> tuple[DataFrame, DataFrame]:

@@ -61,11 +61,11 @@ group by o_custkey, cast(year(cast(o_orderdate as date) + interval 184 day) - 1
 """
 
 STANDIN["discipline_temp"] = """
-select o_custkey as student_id, cast(l_shipdate as date) as incident_date, cast(l_quantity - 40 as int) as suspension_length,
+select o_custkey as student_id, cast(l_shipdate as date) as incident_date, greatest(cast(l_quantity - 40 as int), 0) as suspension_length,
        case when l_partkey % 29 = 0 then null else l_partkey % 13 = 0 end as f_threat,
        l_partkey % 3 = 0 as f_fight, l_partkey % 7 = 0 as f_assault_weapon, l_partkey % 5 = 0 as f_cheating,
        l_partkey % 17 = 0 as f_gang, l_partkey % 19 = 0 as f_firearm, case when l_partkey % 23 = 0 then true end as f_drug
-from orders join lineitem on l_orderkey = o_orderkey where l_returnflag = 'R' and l_quantity > 40
+from orders join lineitem on l_orderkey = o_orderkey where l_returnflag = 'R'
 """
 
 STANDIN["course_enrollment"] = """

@@ -6,8 +6,9 @@ share of all records is already reduced before the shuffle."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortline.functions import columns as C
 from cohortline.roles import DEFAULT, Roles
@@ -33,15 +34,31 @@ def grade_normalised(enrollment: DataFrame, roles: Roles = DEFAULT, grades: rang
     )
 
 
+#: Stands for an unknown year: after all others.
+NO_YEAR = 1_000_000
+
+
+def _packed(year: Column, grade: Column) -> Column:
+    """Year and grade as one number that sorts by year (unknown last), then grade (unknown first). A number keeps the
+    minimum per unit in hash aggregation, where a struct would sort all records."""
+    return F.coalesce(year.cast("bigint"), F.lit(NO_YEAR)) * 1000 + F.coalesce(grade.cast("bigint") + 1, F.lit(0))
+
+
+def _unpacked(name: str, year_type: T.DataType) -> tuple[Column, Column]:
+    year, grade = F.floor(F.col(name) / 1000), F.col(name) % 1000
+    return F.nullif(year, F.lit(NO_YEAR)).cast(year_type), (F.nullif(grade, F.lit(0)) - 1).cast("int")
+
+
 def first_enrollment(enrollment: DataFrame, roles: Roles = DEFAULT, grades: range = HIGH_SCHOOL) -> DataFrame:
     """Earliest active record per unit: year ascending (nulls last), then grade."""
     records = grade_normalised(enrollment, roles, grades).where(C.is_true("active_status"))
-    first = F.min(F.struct(F.col(roles.year).isNull(), F.col(roles.year).alias("y"), F.col("grade").alias("g")))
+    first = _packed(F.col(roles.year), F.col("grade"))
+    year, grade = _unpacked("first", records.schema[roles.year].dataType)
     return (
         records.where(F.col(roles.unit).isNotNull())
         .groupBy(roles.unit)
-        .agg(first.alias("first"))
-        .select(roles.unit, F.col("first.y").alias("first_academic_year"), F.col("first.g").alias("first_grade"))
+        .agg(F.min(first).alias("first"))
+        .select(roles.unit, year.alias("first_academic_year"), grade.alias("first_grade"))
     )
 
 
@@ -92,11 +109,11 @@ def enrollment_rn_ct(enrollment: DataFrame, roles: Roles = DEFAULT, grades: rang
     """First active record by grade code per unit with the unit's record count."""
     records = enrollment.where(F.col(code).isin(C.grade_codes(grades)) & C.is_true("active_status"))
     grade = F.col(code).try_cast("int")
-    first = F.min(F.struct(F.col(roles.year).isNull(), F.col(roles.year).alias("y"), grade.alias("g")))
+    year, first_grade = _unpacked("first", enrollment.schema[roles.year].dataType)
     return (
         records.groupBy(roles.unit)
-        .agg(first.alias("first"), F.count(F.lit(1)).alias("ct"))
-        .select(roles.unit, F.col("first.y").alias(roles.year), F.col("first.g").alias("current_grade"), "ct")
+        .agg(F.min(_packed(F.col(roles.year), grade)).alias("first"), F.count(F.lit(1)).alias("ct"))
+        .select(roles.unit, year.alias(roles.year), first_grade.alias("current_grade"), "ct")
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,43 +10,31 @@ from pyspark.sql import functions as F
 from cohortline.functions.hashing import digest
 from cohortline.sources.shared import durable
 
-SINGLE_TASK_ROWS = 2_000_000
-
-
-def group_sizes(counts: DataFrame) -> tuple[int, int]:
-    """(largest, total) of a table of group counts `n`."""
-    row = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    return row["largest"] or 0, row["total"] or 0
-
 
 def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column],
-                   single_task_rows: int = SINGLE_TASK_ROWS, size: tuple[int, int] | None = None) -> DataFrame:
-    """Add inclusive running sums in the given order within each `by` group.
-
-    The order must be total within a group. Groups up to `single_task_rows` use
-    a plain window. If any group is larger, rows are range-partitioned by group
-    and order, so a hot group spreads over many tasks: each task sums its own
-    range and adds the totals of the ranges before it. The placement is made
-    durable first, because both passes must see the same ranges. `size` is an
-    upper bound of (rows of the largest group, all rows) where the caller knows one."""
-    if size is None:
-        size = group_sizes(df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")))
-    largest, rows = size
-    if largest <= single_task_rows:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
-
-    ranges = max(2, math.ceil(2 * rows / single_task_rows))
+                   totals: Mapping[str, str] | None = None) -> DataFrame:
+    """Add inclusive running sums in the given order within each `by` group, and for `totals` (new name: name of a
+    sum) the sum over the whole group.
+
+    The order must be total within a group. Rows are range-partitioned by group and order, so a hot group spreads
+    over many tasks: each task sums its own range and adds the totals of the ranges before it. The placement is made
+    durable first, because both passes must see the same ranges. Group totals come from the range totals, so
+    no join gathers a group by its key alone."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = durable(
         df.withColumns({f"_{n}": c for n, c in sums.items()})
         .repartitionByRange(ranges, *[F.col(b) for b in by], *order)
         .withColumn("_range", F.spark_partition_id())
     )
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    totals = totals or {}
     before = (
         placed.groupBy(*by, "_range")
         .agg(*[F.sum(f"_{n}").alias(f"_t_{n}") for n in sums])
-        .select(*by, "_range", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums])
+        .select(
+            *by, "_range", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums],
+            *[F.sum(f"_t_{n}").over(whole).alias(name) for name, n in totals.items()])
     )
     within = (
         Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -55,7 +42,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], su
     return (
         placed.join(before, [*by, "_range"])
         .withColumns({n: F.sum(f"_{n}").over(within) + F.col(f"_b_{n}") for n in sums})
-        .select(*df.columns, *sums)
+        .select(*df.columns, *sums, *totals)
     )
 
 

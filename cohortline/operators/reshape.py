@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortline.functions.columns import quoted, text_literal
+from cohortline.operators.ranking import running_totals
 from cohortline.roles import DEFAULT, Roles
 
 Vocabulary = dict[str, list[str]]
-MAX_DUMMIES = 20_000
 
 
 def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], ties: Sequence[str] = ()) -> DataFrame:
@@ -34,11 +34,11 @@ def pivot_by_time(df: DataFrame, times: Sequence[int], values: Sequence[str] | N
     must be unique per (unit, step)."""
     skip = {roles.unit, roles.time}
     values = [c for c in df.columns if c not in skip] if values is None else list(values)
-    # One struct per step instead of one aggregate per step and feature.
-    record = F.struct(*values)
+    # A unit's records as one map: collected without sorting, and at most one record a step.
+    entry = F.struct(F.col(roles.time).alias("step"), F.struct(*values).alias("record"))
     steps = df.groupBy(roles.unit).agg(
-        *[F.max(F.when(F.col(roles.time) == t, record)).alias(f"_{t}") for t in times]
-    )
+        F.map_from_entries(F.collect_list(F.when(F.col(roles.time).isin(list(times)), entry))).alias("_steps")
+    ).select(roles.unit, *[F.col("_steps")[t].alias(f"_{t}") for t in times])
     return steps.selectExpr(
         quoted(roles.unit),
         *[f"`_{t}`.{quoted(v)} as {quoted(f'{roles.time}_{t}_{v}')}" for v in values for t in times],
@@ -49,19 +49,43 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_DUMMIES) -> Vocabulary:
+def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(c, v): the distinct values of each column, without nulls."""
+    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
+    return df.select(pair.alias("p")).select("p.c", "p.v").where("v is not null").distinct()
+
+
+def sparse_vocabulary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(c, v, index): a number from 0 for each value of each column, in the order of column and value.
+
+    The vocabulary is a table of any size; its numbers are running counts over ranges of it."""
+    values = category_values(df, string_columns(df) if columns is None else list(columns)).withColumn("_all", F.lit(0))
+    return running_totals(values, ["_all"], [F.asc("c"), F.asc("v")], {"n": F.lit(1)}).select(
+        "c", "v", (F.col("n") - 1).alias("index"))
+
+
+def one_hot_sparse(df: DataFrame, columns: Sequence[str] | None = None, vocabulary: DataFrame | None = None,
+                   roles: Roles = DEFAULT) -> DataFrame:
+    """unit, indices: the positions of the ones of a unit's encoded categories, ascending. Units must be unique; a unit
+    without any value has no position, and values outside the vocabulary are left out. No number of values is too large: a row holds at most one position a column.
+
+    A value that most units share is one small row of the vocabulary, and the units' side of its join can be split."""
+    columns = string_columns(df.drop(roles.unit)) if columns is None else list(columns)
+    vocabulary = sparse_vocabulary(df, columns) if vocabulary is None else vocabulary
+    pairs = F.explode_outer(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
+    long = df.select(roles.unit, pairs.alias("p")).select(roles.unit, "p.c", "p.v")
+    return long.join(vocabulary, ["c", "v"], "left").groupBy(roles.unit).agg(F.sort_array(F.collect_list("index")).alias("indices"))
+
+
+def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None) -> Vocabulary:
     """Distinct values of each column, all columns in one pass.
 
-    Values are metadata: they become column names. A column set with more than
-    `limit` values is refused instead of collected."""
+    The values become column names, so they reach the driver. Columns with very many
+    values belong in `one_hot_sparse`, which keeps them in tables."""
     columns = string_columns(df) if columns is None else list(columns)
     if not columns:
         return {}
-    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
-    pairs = df.select(pair.alias("p")).select("p.c", "p.v").where("v is not null").distinct()
-    rows = pairs.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} category values; encode such columns as a sparse vector instead")
+    rows = category_values(df, columns).collect()
     vocabulary: Vocabulary = {c: [] for c in columns}
     for r in sorted((r["c"], r["v"]) for r in rows):
         vocabulary[r[0]].append(r[1])
@@ -81,12 +105,12 @@ def one_hot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]] | None = None
 
 def extract_features(static: DataFrame, yearly: DataFrame, times: Sequence[int], roles: Roles = DEFAULT,
                      ties: Sequence[str] = (), columns_to_dummy: Sequence[str] | None = None,
-                     vocabulary: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                     vocabulary: Mapping[str, Sequence[str]] | None = None, unique: bool = False) -> DataFrame:
     """Static features merged with the pivoted yearly features, categories encoded.
 
-    The latest record of a repeated step is used; units missing on either side
+    The latest record of a repeated step is used (`unique`: there is none, so nothing is sorted); units missing on either side
     stay, with nulls. Date columns are no categories and pass unchanged."""
-    latest = dedup_last(yearly, [roles.unit, roles.time], [roles.year], ties)
+    latest = yearly if unique else dedup_last(yearly, [roles.unit, roles.time], [roles.year], ties)
     wide = pivot_by_time(latest.drop(roles.cohort, roles.year), times, roles=roles)
     merged = static.join(wide, roles.unit, "full")
     return one_hot(merged, vocabulary, columns_to_dummy)

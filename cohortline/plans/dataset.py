@@ -19,8 +19,6 @@ from cohortline.operators.reshape import (
 from cohortline.roles import DEFAULT, Roles
 from cohortline.sources.tables import cached, load_district
 
-MAX_STEPS = 100
-
 
 def latest_yearly_features(cby: DataFrame, attendance: DataFrame, incidents: DataFrame, taken: DataFrame,
                            catalog: DataFrame, enrollment: DataFrame, schools: DataFrame, roles: Roles = DEFAULT,
@@ -39,34 +37,35 @@ def latest_yearly_features(cby: DataFrame, attendance: DataFrame, incidents: Dat
 def build_dataset(static: DataFrame, yearly: DataFrame, labels: DataFrame, times: Sequence[int],
                   roles: Roles = DEFAULT, dropped: Sequence[str] = (), ties: Sequence[str] = (),
                   columns_to_dummy: Sequence[str] | None = None,
-                  vocabulary: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                  vocabulary: Mapping[str, Sequence[str]] | None = None, unique: bool = False) -> DataFrame:
     """Features and label of every unit with a known outcome.
 
     `dropped` names static columns (dates, ages) that are no features."""
     features = extract_features(
-        static.drop(*dropped), yearly, times, roles, ties, columns_to_dummy, vocabulary
+        static.drop(*dropped), yearly, times, roles, ties, columns_to_dummy, vocabulary, unique
     )
     return extract_instances(features, labelled(labels, roles), roles)
 
 
 def dataset_vocabulary(static: DataFrame, yearly: DataFrame, times: Sequence[int], roles: Roles = DEFAULT,
-                       dropped: Sequence[str] = (), ties: Sequence[str] = ()) -> dict[str, list[str]]:
+                       dropped: Sequence[str] = (), ties: Sequence[str] = (), unique: bool = False) -> dict[str, list[str]]:
     """Category values of the merged features, found on the long tables: the values
     of a yearly column at a step are the categories of that step's column."""
-    latest = dedup_last(yearly, [roles.unit, roles.time], [roles.year], ties)
+    latest = yearly if unique else dedup_last(yearly, [roles.unit, roles.time], [roles.year], ties)
     text = string_columns(yearly.drop(roles.unit, roles.time))
-    per_step = latest.where(F.col(roles.time).isin(list(times))).select(*[
-        F.when(F.col(roles.time) == t, F.col(c)).alias(f"{roles.time}_{t}_{c}") for c in text for t in times
-    ])
-    return {**fit_vocabulary(static.drop(roles.unit, *dropped)), **fit_vocabulary(per_step)}
+    found: dict[str, list[str]] = {f"{roles.time}_{t}_{c}": [] for c in text for t in times}
+    if text:
+        pair = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in text]))
+        values = latest.where(F.col(roles.time).isin(list(times))).select(F.col(roles.time).alias("t"), pair.alias("p"))
+        rows = values.select("t", "p.c", "p.v").where("v is not null").distinct().collect()  # they become column names
+        for t, c, v in sorted(map(tuple, rows)):
+            found[f"{roles.time}_{t}_{c}"].append(v)
+    return {**fit_vocabulary(static.drop(roles.unit, *dropped)), **found}
 
 
 def observed_steps(yearly: DataFrame, roles: Roles = DEFAULT) -> list[int]:
-    """Distinct steps of the yearly table; they become column names, so there must be few."""
-    rows = yearly.select(roles.time).where(F.col(roles.time).isNotNull()).distinct().limit(MAX_STEPS + 1).collect()
-    if len(rows) > MAX_STEPS:
-        raise ValueError(f"more than {MAX_STEPS} steps in {roles.time}")
-    return sorted(r[0] for r in rows)
+    """Distinct steps of the yearly table; they become column names."""
+    return sorted(r[0] for r in yearly.select(roles.time).where(F.col(roles.time).isNotNull()).distinct().collect())
 
 
 def fetch_data(spark: SparkSession, district: str, root: str | None = None, jdbc: Mapping[str, str] | None = None,

@@ -131,6 +131,7 @@ def learner(name: str, params: Mapping, train_rows: int = 1, roles: Roles = DEFA
         return LogisticRegression(
             **common, elasticNetParam=1.0 if params.get("penalty", "l2") == "l1" else 0.0,
             regParam=1.0 / (params.get("C", 1.0) * max(train_rows, 1)),
+            standardization=False,  # the penalty is on the coefficients of the features as given
         )
     if name == "naive_bayes":
         return NaiveBayes(**common, modelType="multinomial", smoothing=params.get("alpha", 1.0))

@@ -86,11 +86,15 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 def cached(spark: SparkSession, path: str, build) -> DataFrame:
-    """The dataset at `path`; built and written first when it is not there."""
-    found = read_if_exists(spark, path)
-    if found is not None:
-        return found
-    build().write.mode("errorifexists").parquet(path)
+    """The dataset at `path`; built and written first when it is not there.
+
+    What counts is a one-row note beside it that is written last. Files without it are
+    the rest of a job that died: they are written over."""
+    note = f"{path.rstrip('/')}.complete"
+    found = read_if_exists(spark, note, "complete boolean")
+    if found is None or found.isEmpty():
+        build().write.mode("overwrite").parquet(path)
+        spark.createDataFrame([(True,)], "complete boolean").coalesce(1).write.mode("overwrite").parquet(note)
     return spark.read.parquet(path)
 
 

@@ -29,8 +29,19 @@ def test_one_hot(spark):
     out = R.one_hot(df)
     assert out.columns == ["k", "c_a", "c_b"]
     assert as_set(out) == {(1, 1, 0), (2, 0, 1), (3, 0, 0)}
-    with pytest.raises(ValueError):
-        R.fit_vocabulary(df, limit=1)
+
+
+def test_one_hot_sparse(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, None, None)], "student_id int, c string, d string")
+    assert {tuple(r) for r in R.sparse_vocabulary(df, ["c", "d"]).collect()} == {("c", "a", 0), ("c", "b", 1), ("d", "x", 2)}
+    assert {(r[0], tuple(r[1])) for r in R.one_hot_sparse(df, ["c", "d"]).collect()} == {(1, (0, 2)), (2, (1,)), (3, ())}
+
+
+def test_wide_plans_do_not_sort_records(spark, district):
+    from cohortline.operators import cohort as K
+
+    for df in (K.first_enrollment(district.enrollment), K.enrollment_rn_ct(district.enrollment)):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_merge_keeps_units_of_either_side(spark):
@@ -140,13 +151,12 @@ def test_kfold_is_even_per_label(instances):
     assert {(r["label"], r["count"]) for r in sizes} == {(0, 10), (1, 5)}
 
 
-@pytest.mark.parametrize("limit", [10, 10**6])
-def test_running_totals_do_not_depend_on_the_path(spark, limit):
+def test_running_totals_of_a_hot_group(spark):
     """A hot group with most rows, spread over ranges, gives the plain window's totals."""
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
         ((F.col("id") * 7919) % 3001).alias("o"), (F.col("id") % 5).alias("v"))
-    got = running_totals(df, ["g"], [F.desc("o")], {"s": F.col("v"), "r": F.lit(1)}, single_task_rows=limit)
+    got = running_totals(df, ["g"], [F.desc("o")], {"s": F.col("v"), "r": F.lit(1)})
     rows = sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0], -r[1]))
     want, state = set(), {}
     for g, o, v in rows:

@@ -205,3 +205,35 @@ def test_sweep_over_feature_sets(spark, instances, tmp_path):
     summary, _ = W.sweep(instances, ["a", "b", "grade_level_12_late"], str(tmp_path / "s"), splits,
                          {"naive_bayes": {"alpha": [0.1]}}, catalog=catalog)
     assert {r["features"] for r in summary.collect()} == {"all", "x", "y", "x, y"}
+
+
+def test_half_written_cache_is_built_again(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    spark.range(2).write.parquet(path)  # what a job that died has left: no note beside it
+    assert tables.cached(spark, path, lambda: spark.range(5)).count() == 5
+    assert tables.cached(spark, path, lambda: spark.range(9)).count() == 5
+
+
+def test_half_written_predictions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows = spark.range(10).selectExpr(
+        "id as student_id", "0d as y_true", "0d as y_pred", "0d as y_prob", "9 as grade", "2003 as test", "2001 as train", "'m' as model",
+        "case when id < 8 then 'aa' else 'bb' end as summary_hash")
+    rows.where("student_id < 4").write.partitionBy(*results.PARTITIONS).parquet(path)
+    assert results.write_predictions(rows, path).count() == 10
+    assert results.write_predictions(rows, path).count() == 10
+    assert {tuple(r) for r in results.finished(spark, path).collect()} == {("aa", 8), ("bb", 2)}
+
+
+def test_sweep_without_a_usable_split_is_empty(spark, instances, tmp_path):
+    splits = V.temporal_splits(instances, grades=[10], test_cohorts=[2003]).where("false")
+    summary, predictions = W.sweep(instances, ["a", "b"], str(tmp_path / "none"), splits, {"naive_bayes": {"alpha": [0.1]}})
+    assert summary.count() == 0 and predictions.count() == 0
+
+
+def test_a_learner_that_fails_is_noted(spark, instances, tmp_path):
+    splits = V.temporal_splits(instances, grades=[10], test_cohorts=[2003], train_only_latest=True)
+    rows = instances.withColumn("a", -F.col("a") - 1)  # naive Bayes takes no negative values
+    path = str(tmp_path / "fails")
+    summary, _ = W.sweep(rows, ["a", "b"], path, splits, {"dummy": M.GRIDS["dummy"], "naive_bayes": {"alpha": [0.1]}})
+    assert summary.count() == 2 and spark.read.parquet(f"{path}/failed").count() == 1
