@@ -1,42 +1,67 @@
-"""Connected components of a graph given as edges, by alternating star steps on tables."""
+"""Connected components of a graph given as edges: contraction inside tasks, then alternating star steps on tables."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import staged
 
 
-def _stars(edges: DataFrame, small: bool) -> DataFrame:
-    """One star step. Large: each larger neighbour of a node is tied to the least node around it; small: the node and
-    its smaller neighbours are. Both keep the components and need one sum by node and one join."""
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The edges of each batch of a task as stars around the smallest nodes: the same components, never more edges."""
+
+    def contract(batches):
+        for b in batches:
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                top = x
+                while parent.setdefault(top, top) != top:
+                    top = parent[top]
+                while parent[x] != top:
+                    parent[x], x = top, parent[x]
+                return top
+
+            for x, y in zip(b["a"].to_pylist(), b["b"].to_pylist()):
+                x, y = root(x), root(y)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+            pairs = [(x, root(x)) for x in parent if parent[x] != x]
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return edges.select("a", "b").mapInArrow(contract, "a long, b long")
+
+
+def _star(edges: DataFrame, small: bool) -> DataFrame:
+    """One star step on edges a > b. Large: each larger neighbour of a node is tied to the least node around it; small: the
+    node and its smaller neighbours are. Both keep the components; partial sums reduce a node with very many
+    edges before the shuffle, and Spark splits its side of the join."""
     both = edges if small else edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    if small:
-        both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    tied = both.join(least, "a")
+    tied = both.hint("merge").join(least, "a")
     if small:
         tied = tied.select("b", "m").union(least.select(F.col("a").alias("b"), "m"))
     else:
         tied = tied.filter("b > a").select("b", "m")
-    return tied.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return tied.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (its smallest node) for every node of `edges` (a, b: any ordered type, a <> b).
-
-    Alternating large-star and small-star steps: a path of n nodes takes about log n rounds. A
-    node with very many edges is only reduced by partial sums and joined, where Spark splits hot keys. Each
-    round is written to the shared folder."""
-    now = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    print_of = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
-    mark = (now.count(), None)
-    while mark[0]:
-        now = staged(_stars(_stars(now, small=False), small=True), "edges")
-        new = print_of(now)
-        if new == mark:
+    """node, component (its smallest node) for every node of `edges` (a, b: longs, a <> b).
+
+    Tasks contract the edges that they have, then a large-star and a small-star step join what lies in several tasks, until nothing changes: a path
+    of n nodes takes about log n rounds, a graph that fits few tasks one or two. Each round is written to the shared folder."""
+    ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = staged(_contracted(ordered), "edges")
+    mark = None
+    while True:
+        new = tuple(now.distinct().agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+        if new == mark or not new[0]:
             break
         mark = new
+        now = staged(_contracted(_star(_star(now, small=False), small=True).distinct()), "edges")
+    now = now.distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
