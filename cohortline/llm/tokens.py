@@ -7,6 +7,7 @@ once, known words come from a bounded cache of the worker, and the ids are gathe
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import lru_cache
 
@@ -16,8 +17,21 @@ import pyarrow.compute as pc
 
 from cohortline.llm.common import ranges
 
-#: Words kept in a worker's cache; a full cache is emptied. It only saves time.
-CACHED_WORDS = 700_000
+#: Words, and forms in which they stand in texts, kept by a worker; a full cache is emptied. It only saves time.
+CACHED_WORDS, CACHED_FORMS = 700_000, 500_000
+#: A word of Latin letters and the stops after it: normalisation leaves these letters alone, but for capitals.
+PLAIN = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([.,]*)")
+LETTERS = re.compile("[a-z\u00DF-\u00F6\u00F8-\u012F\u0131-\u024F]+")
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves, the others follow U+0100."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+BYTES = byte_letters()
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -28,44 +42,63 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordEncoder:
-    """ids(texts): all ids end to end and the number of ids of each text, as the tokenizer gives them without special tokens."""
+    """ids_of(texts): all ids end to end and the number of ids of each text, as the tokenizer gives them without special tokens.
+
+    A form is what stands between white space. It is one word, or a plain word and the stops after it; both are codes into
+    the list of known words."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self._empty()
 
     def _empty(self) -> None:
         self.code: dict[str, int] = {"": 0}
+        self.forms: dict[str, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])
 
     @staticmethod
-    def _split(word: str) -> tuple[str, str]:
+    def _split(form: str) -> tuple[str, str]:
         """A plain word without its capitals and its last stops, and these stops: they are tokens of their own."""
-        if word.isascii() and "<" not in word:
-            word = word.lower()
-            body = word.rstrip(".,")
-            if body and body[-1].isalnum():
-                return body, word[len(body):]
-        return word, ""
-
-    def _codes(self, words: list[str]) -> np.ndarray:
-        parts = [self._split(w) for w in words]
-        new = dict.fromkeys(x for p in parts for x in p if x not in self.code)
-        if len(self.code) + len(new) > CACHED_WORDS:
-            self._empty()
-            new = dict.fromkeys(x for p in parts for x in p if x)
-        found = list(new)
-        for at in range(0, len(found), 20_000):
-            piece = found[at : at + 20_000]
-            for word, got in zip(piece, self.tokenizer.encode_batch_fast(piece, add_special_tokens=False)):
+        m = PLAIN.fullmatch(form)
+        return (m[1].lower(), m[2]) if m else (form, "")
+
+    def _learn(self, words: list[str]) -> None:
+        """Adds words. Latin letters are one piece for the model; what else there is goes through the whole tokenizer."""
+        other = []
+        for word in words:
+            if LETTERS.fullmatch(word):
                 self.code[word] = len(self.ends)
-                self.ids.extend(got.ids)
+                raw = word if word.isascii() else "".join([BYTES[b] for b in word.encode()])
+                self.ids.extend([t.id for t in self.model.tokenize(raw)])
                 self.ends.append(len(self.ids))
+            else:
+                other.append(word)
+        for word, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            self.code[word] = len(self.ends)
+            self.ids.extend(got.ids)
+            self.ends.append(len(self.ids))
+
+    def _codes(self, forms: list[str]) -> np.ndarray:
+        """The code of a form's word in the upper, of its stops in the lower half of a number."""
+        if len(self.forms) + len(forms) > CACHED_FORMS:
+            self.forms = {}
+        new = {f: self._split(f) for f in forms if f not in self.forms}
+        words = dict.fromkeys(x for p in new.values() for x in p if x not in self.code)
+        if len(self.code) + len(words) > CACHED_WORDS:
+            self._empty()
+            new = {f: self._split(f) for f in forms}
+            words = dict.fromkeys(x for p in new.values() for x in p if x)
+        listed = list(words)
+        for at in range(0, len(listed), 20_000):
+            self._learn(listed[at : at + 20_000])
         code = self.code
-        return np.array([code[x] for p in parts for x in p], np.int64).reshape(-1, 2)
+        self.forms.update((f, code[a] << 32 | code[b]) for f, (a, b) in new.items())
+        known = self.forms
+        return np.fromiter((known[f] for f in forms), np.int64, len(forms))
 
     def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(texts)
@@ -73,16 +106,15 @@ class WordEncoder:
         codes = self._codes(words.dictionary.to_pylist())
         ends = np.frombuffer(self.ends, np.int64)
         starts = np.r_[0, ends[:-1]]
-        parts = codes.ravel()
+        parts = np.stack([codes >> 32, codes & 0xFFFFFFFF], axis=1).ravel()
         own = ends[parts] - starts[parts]
         word_ids = np.frombuffer(self.ids, np.uint32)[ranges(starts[parts], own)] if len(self.ids) else np.empty(0, np.uint32)
-        word_lengths = own.reshape(-1, 2).sum(axis=1)
-        word_starts = np.cumsum(word_lengths) - word_lengths
-        each = words.indices.to_numpy()
-        lengths = word_lengths[each]
+        lengths = own.reshape(-1, 2).sum(axis=1)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(word_ids))
+        found = lists.take(words.indices)
         offsets = split.offsets.to_numpy()
-        total = np.r_[0, np.cumsum(lengths)][offsets - offsets[0]]
-        return word_ids[ranges(word_starts[each], lengths)], np.diff(total)
+        total = found.offsets.to_numpy()[offsets - offsets[0]].astype(np.int64)
+        return found.flatten().to_numpy(), np.diff(total)
 
 
 @lru_cache(maxsize=2)
