@@ -415,6 +415,14 @@ Q["profile_course_years"] = "select distinct academic_year from course_enrollmen
 Q["profile_active_years"] = """
 select academic_year, count(active_status) as n from school_enrollment where active_status group by academic_year"""
 Q["profile_withdraw_reasons"] = "select reason_code, count(student_id) as n from outcome group by reason_code"
+Q["profile_withdraw_reasons_by_grade"] = """
+select grade_level, reason_code_description, reason_code, count(student_id) as n from outcome group by all"""
+Q["profile_out_codes"] = """
+select has_out_code, count(has_out_code) as n, (select count(distinct has_out_code) from school_enrollment) as n_codes
+from school_enrollment group by has_out_code"""
+Q["profile_school_locators"] = "select distinct current_school_number_locator from school_enrollment"
+Q["profile_left_schools"] = """
+select distinct current_school_id from school_enrollment where current_school_number_locator in ('GRD', 'OUT')"""
 Q["profile_high_schools"] = "select id, name from school where contains(name, 'HS')"
 Q["profile_schools_by_year"] = """
 select distinct s.id, s.name, e.academic_year
@@ -801,3 +809,4 @@ Q["learners_planted"] = " union all ".join(
     f"select '{n}' as learner, student_id, cast(label as double) as y_true, cast(label as double) as y_pred from t_dataset where cohort >= {TEST}"
     for n in ("decision_tree", "gradient_boosting", "logistic_regression", "random_forest"))
 Q["feature_importance"] = "select 'planted' as feature, cast(100 as double) as importance"
+Q["report_newest_first"] = Q["cohort_sizes"]

@@ -284,6 +284,14 @@ query("profile_course_years")(lambda d: P.distinct_values(d["course_enrollment"]
 query("profile_active_years")(lambda d: P.value_counts(
     d.enrollment.where(C.is_true("active_status")), "academic_year", counted="active_status"))
 query("profile_withdraw_reasons")(lambda d: P.value_counts(d["outcome"], "reason_code", counted="student_id"))
+query("profile_withdraw_reasons_by_grade")(lambda d: P.value_counts(
+    d["outcome"], "grade_level", "reason_code_description", "reason_code", counted="student_id"))
+query("profile_out_codes")(lambda d: P.value_counts(d.enrollment, "has_out_code", counted="has_out_code").withColumn(
+    "n_codes", F.lit(P.distinct_values(d.enrollment.where("has_out_code is not null"), "has_out_code").count()).cast("bigint")))
+query("profile_school_locators")(lambda d: P.distinct_values(d.enrollment, "current_school_number_locator"))
+query("profile_left_schools")(lambda d: P.distinct_values(
+    d.enrollment.where(F.col("current_school_number_locator").isin("GRD", "OUT")), "current_school_id"))
+query("report_newest_first")(lambda d: X.newest_first(X.cohort_sizes(d.cohort), "cohort"))
 query("profile_high_schools")(lambda d: d["school"].where(F.col("name").contains("HS")).select("id", "name"))
 query("profile_schools_by_year")(lambda d: P.schools_by_year(d.enrollment, d["school"]))
 query("profile_grade_moves")(lambda d: P.grade_moves(d.enrollment, d["school"]))

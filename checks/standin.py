@@ -28,7 +28,9 @@ select student_id, ay as academic_year,
        case when k % 97 = 0 then '2' when k % 31 = 0 then 'W' else '0' end as current_status,
        case when k % 53 = 0 then 997 else cast(k % 10 as int) end as current_school_id,
        case when k % 3 = 0 then 'T1' end as current_year_round_track,
-       case when k % 97 = 0 then 'W2' end as withdraw_code
+       case when k % 97 = 0 then 'W2' end as withdraw_code,
+       case when k % 97 = 0 then true when k % 4 <> 0 then false end as has_out_code,
+       case when k % 53 = 0 then 'GRD' when k % 59 = 0 then 'OUT' else concat('L', cast(k % 10 as string)) end as current_school_number_locator
 from g
 """
 
@@ -104,7 +106,8 @@ from customer
 STANDIN["outcome"] = """
 select c_custkey as student_id,
        case when c_custkey % 40 = 3 then null else cast(date '1999-10-01' + cast(c_custkey % 1200 as int) as date) end as withdraw_date,
-       case when c_custkey % 16 = 3 then 'W1' else 'W2' end as withdraw_code, cast(c_custkey % 4 as string) as reason_code
+       case when c_custkey % 16 = 3 then 'W1' else 'W2' end as withdraw_code, cast(c_custkey % 4 as string) as reason_code,
+       cast(9 + c_custkey % 5 as int) as grade_level, concat('reason ', cast(c_custkey % 4 as string)) as reason_code_description
 from customer where c_acctbal < 375
 """
 

@@ -16,6 +16,7 @@ from cohortline.operators.reshape import (
     labelled,
     string_columns,
 )
+from cohortline.plans.session import apply_settings
 from cohortline.roles import DEFAULT, Roles
 from cohortline.sources.tables import cached, load_district
 
@@ -75,7 +76,7 @@ def fetch_data(spark: SparkSession, district: str, root: str | None = None, jdbc
 
     With `cache` the dataset is written there on the first call and read
     afterwards. Steps not given are those the yearly table shows."""
-    tables = load_district(spark, district, root, jdbc)
+    tables = load_district(apply_settings(spark), district, root, jdbc)
 
     def build() -> DataFrame:
         steps = observed_steps(tables.yearly, roles) if times is None else times

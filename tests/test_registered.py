@@ -9,6 +9,9 @@ from conftest import SF
 CHECKED = """
 cohort label labels2 cohort_feature yf_absences yf_discipline yf_courses xtab_continued_enrollment xtab_school_by_year
 profile_grade_moves split_class_counts subsample smote sweep_configs evaluate
+first_enrollment cohort_by_year grad_label yf_school yearly_features dedup_last pivot_by_grade dataset dataset_fitted one_hot one_hot_sparse
+imputed_mean imputed_mode smote_neighbours load_units rf_scores nb_scores learners_planted feature_importance roc_points ap_at_k risk_list
+predictions_partitioned profile_out_codes profile_school_locators profile_withdraw_reasons_by_grade report_newest_first
 """.split()
 
 
