@@ -1,6 +1,6 @@
 """Licence scan: TF-IDF cosine of headers and licence files to templates, inheritance from the nearest directory.
 
-Only DataFrame functions. A file's notices are its lines with a cue word; of a licence file (by name, or when notices are most of it) also its whole
+Only DataFrame functions. A file's notices are its lines with a cue word; of a licence file (by name, or when it is hardly more than notices) also its whole
 text. Distinct notices become sparse vectors of (term, weight) rows, and the cosine is a sum over a join on terms
 with the templates, a fixed table. A file without a notice of its own takes the licence of the
 nearest directory above it that has a licence file: distinct directories are joined with their ancestors by path.
@@ -95,7 +95,7 @@ def match_notices(notices: DataFrame, known: DataFrame, least: float) -> DataFra
     return keyed.join(best, "key").select("notice", F.col("best.licence").alias("licence"), (-F.col("best.s")).alias("similarity"))
 
 
-def scan_licences(files: DataFrame, least: float = 0.8, share: float = 0.5, id_col: str = "doc_id", path_col: str = "path",
+def scan_licences(files: DataFrame, least: float = 0.8, share: float = 0.9, id_col: str = "doc_id", path_col: str = "path",
                   text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
     """doc_id, path, licence, similarity, origin ('header', 'file', 'inherited'), from_directory; only files with a licence.
 
