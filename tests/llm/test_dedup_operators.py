@@ -177,3 +177,17 @@ def test_near_stage_keeps_one_of_each_group(spark):
     kept = {r["doc_id"] for r in out.collect()}
     assert out.columns == df.columns and {5000, 5001, 5002, None} <= kept
     assert sorted(group[i] for i in kept if i in group) == list(range(12)) and all(i % 100 == 0 for i in kept if i in group)
+
+
+@pytest.mark.parametrize("copies", [300, 2000])
+def test_near_copies_linked_only_through_their_original(spark, copies):
+    draw = random.Random(copies)
+    base = [f"w{draw.randrange(5000)}" for _ in range(400)]
+    rows = [(copies, " ".join(base))]  # the original has the largest id
+    for i in range(copies):
+        own = list(base)
+        for k, at in enumerate(range(10 + draw.randrange(20), 400, 62)):
+            own[at] = f"own{i}x{k}"
+        rows.append((i, " ".join(own)))
+    out = near_stage.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert [r["doc_id"] for r in out.collect()] == [0]
