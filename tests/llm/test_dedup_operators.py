@@ -191,3 +191,20 @@ def test_near_copies_linked_only_through_their_original(spark, copies):
         rows.append((i, " ".join(own)))
     out = near_stage.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
     assert [r["doc_id"] for r in out.collect()] == [0]
+
+
+def test_near_stage_matches_brute_force_just_above_the_limit(spark):
+    draw = random.Random(3)
+    rows = []
+    line = " ".join(f"common{k}" for k in range(12))  # a shared line crowds its buckets
+    for _ in range(40):
+        base = [f"w{draw.randrange(900)}" for _ in range(draw.choice((4, 9, 60, 150)))]
+        for _ in range(6):
+            own = list(base)
+            for _ in range(draw.randint(0, 1 + len(own) // 40)):
+                own[draw.randrange(len(own))] = f"x{draw.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own) + (" " + line if draw.random() < 0.6 else "")))
+    sets = {i: set(near_stage.shingle_set(t, 5).tolist()) for i, t in rows}
+    want = brute_groups(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    out = near_stage.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(want.values()))
