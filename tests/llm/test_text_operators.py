@@ -296,3 +296,18 @@ def test_pipeline_stages(spark):
             rows = docs.count()
     assert docs.select(F.sum("length")).first()[0] == sum(
         r[0] for r in docs.select("doc_tokens", "doc_id").distinct().collect())
+
+
+def noise_corpus(spark, n, length):
+    """Texts that say nothing about the label, of which 86 in 100 are 1."""
+    draw = random.Random(n)
+    rows = [(i, " ".join(f"w{draw.randrange(300)}" for _ in range(length)), int(draw.random() < 0.86)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(3)
+    return df.select("doc_id", "text"), df.select("doc_id", "quality"), sum(r[2] for r in rows) / n
+
+
+def test_quality_score_means_the_same_when_the_sample_binds(spark):
+    docs, labels, share = noise_corpus(spark, 1500, 40)
+    model = train_quality(docs, labels, sample=150)
+    mean = classify(docs, model).agg({"score": "avg"}).first()[0]
+    assert abs(mean - share) < 0.08
