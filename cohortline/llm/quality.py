@@ -81,7 +81,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, dictio
     order = F.xxhash64("_id")
     picked = named.filter("_label = 1").orderBy(order).limit(sample).union(
         named.filter("_label = 0").orderBy(order).limit(sample))  # bounded by 2 * sample rows
-    rows = staged(docs.select(F.col(id_col).cast("long").alias("_id"), F.substring(whole_text(text_col), 1, longest).alias("_text")).join(
+    rows = staged(docs.select(F.col(id_col).cast("long").alias("_id"), whole_text(text_col).alias("_text")).join(
         F.broadcast(picked), "_id").groupBy(order.alias("_h")).agg(F.min("_label").alias("_label"), F.min("_text").alias("_text")), "labelled")
     of = {k: sorted(r["_h"] for r in rows.filter(F.col("_label") == k).select("_h").collect()) for k in (0, 1)}
     if min(map(len, of.values())) < 10:

@@ -311,3 +311,9 @@ def test_quality_score_means_the_same_when_the_sample_binds(spark):
     model = train_quality(docs, labels, sample=150)
     mean = classify(docs, model).agg({"score": "avg"}).first()[0]
     assert abs(mean - share) < 0.08
+
+
+def test_quality_calibrates_on_whole_texts(spark):
+    docs, labels, _ = noise_corpus(spark, 120, 200)
+    model = train_quality(docs, labels, longest=50)
+    assert model.mean[4] > np.log(500)
