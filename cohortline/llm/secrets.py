@@ -86,7 +86,8 @@ class GuessCost:
             jump(a, b, cost)
         plain = value.lower().translate(LEET)
         plain = plain if len(plain) == n else value  # a letter whose small form is longer
-        best, last_run = [0.0] * (n + 1), 0
+        best = [0.0] * (n + 1)
+        same = dict.fromkeys((1, 2, 3, 4), 0)  # for each size of block: so many letters up to here equal the one a block before
         mixed = math.log2(3)  # which kind of span comes next
         for j in range(1, n + 1):
             cost = best[j - 1] + _alphabet(value[j - 1]) + (1.0 if value[j - 1].isupper() else 0.0)
@@ -97,12 +98,9 @@ class GuessCost:
                     cost = min(cost, best[i] + mixed + math.log2(rank + 1) + (own != own.lower()) + (own.lower() != plain[i:j]))
             for i, own in jumps.get(j, ()):
                 cost = min(cost, best[i] + mixed + own)
-            for size in (1, 2, 3, 4):  # a block repeated up to here, at least three times
-                times = 1
-                while j - size * (times + 1) >= 0 and value[j - size * (times + 1) : j - size * times] == value[j - size : j]:
-                    times += 1
-                    if times > 64:
-                        break
+            for size in same:  # a block repeated up to here, at least three times
+                same[size] = same[size] + 1 if j > size and value[j - 1] == value[j - 1 - size] else 0
+                times = same[size] // size + 1
                 if times >= 3:
                     i = j - size * times
                     cost = min(cost, best[i] + mixed + sum(map(_alphabet, value[j - size : j])) + math.log2(times))

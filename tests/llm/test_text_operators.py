@@ -317,3 +317,10 @@ def test_quality_calibrates_on_whole_texts(spark):
     docs, labels, _ = noise_corpus(spark, 120, 200)
     model = train_quality(docs, labels, longest=50)
     assert model.mean[4] > np.log(500)
+
+
+def test_guess_cost_of_a_long_rule_is_one_repeat(spark):
+    cost = secrets.GuessCost()
+    assert cost.bits("-" * 521) < cost.bits("-" * 300) + 1 < 17 and cost.bits("ab-=" * 400) < 45
+    (row,) = secrets.find_secrets(spark.createDataFrame([(1, "password = " + "-" * 600)], "doc_id long, text string")).collect()
+    assert row["n_guess"] == 0
