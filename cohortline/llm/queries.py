@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.llm.align_tokens import align_tokens
 from cohortline.llm.common import table
 from cohortline.llm.decontaminate import contaminated
 from cohortline.llm.exact_dedup import exact_dedup
 from cohortline.llm.html_tree import extract
 from cohortline.llm.licences import scan_licences
+from cohortline.llm.matched_packing import pack_matched
 from cohortline.llm.packing import pack_documents
+from cohortline.llm.prefix_trie import ordered_turns, prefix_trie, shared_heads, with_ends
 from cohortline.llm.quality import classify, train_quality
 from cohortline.llm.secrets import find_secrets
 from cohortline.llm.simhash import near_duplicates
@@ -76,10 +79,25 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_matched_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_matched(table(spark, sf_dir, "documents"), vocabulary())
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that begin like the first of their hundred, and the trie of all their prefixes."""
+    convs, turns = shared_heads(ordered_turns(table(spark, sf_dir, "conversations")))
+    return with_ends(prefix_trie(convs, turns)).drop("key_a", "key_b")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_exact_dedup, op2_suffix_dedup, op3_packing, op4_decontaminate, op5_licences, op6_token_files, op7_secrets, op8_quality,
-        op9_simhash, op10_html)}
+        op9_simhash, op10_html, op11_align_tokens, op12_matched_packing, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
