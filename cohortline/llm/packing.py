@@ -36,7 +36,7 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, query_terms: int) -> None:
         counted = [terms_of(d) for d in docs]
-        sizes = np.array([len(t) for t, _ in counted])
+        sizes = np.array([len(t) for t, _ in counted], np.int64)
         terms = np.concatenate([t for t, _ in counted]) if counted else np.empty(0, np.int64)
         tf = np.concatenate([c for _, c in counted]).astype(np.float64) if counted else np.empty(0)
         owner = np.repeat(np.arange(len(docs)), sizes)
@@ -189,7 +189,8 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = 40
                     flush()
                     shard, held = [], 0
                     yield rows()
-        flush()
+        if shard:
+            flush()
         packer.end()
         yield rows()
 

@@ -102,7 +102,7 @@ def prefix_trie(convs: DataFrame, turns: DataFrame, block: int = 4) -> Trie:
         F.count("*").alias("n"), F.min(F.struct("conv_id", "block", *[f"p{s}" for s in SUMS])).alias("r")).select(
         *_keys("parent"), *_keys("end"), "n", "r.*")
     distinct = staged(distinct, "block-groups")
-    fans = distinct.groupBy(*_keys("parent")).agg((F.count("*") > 1).alias("diverges"))
+    fans = staged(distinct.groupBy(*_keys("parent")).agg((F.count("*") > 1).alias("diverges")), "fans")  # so that Spark can split a hot parent
     chosen = distinct.join(fans.hint("merge"), _keys("parent")).drop(*_keys("parent"))
 
     inside = Window.partitionBy("conv_id", "block").orderBy("place")  # at most `block` rows

@@ -208,3 +208,19 @@ def test_near_stage_matches_brute_force_just_above_the_limit(spark):
     want = brute_groups(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
     out = near_stage.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(want.values()))
+
+
+def test_outlines_never_rule_out_similar_sets():
+    draw = np.random.default_rng(5)
+    for n in (1, 2, 5, 17, 300, 3000):
+        for changed in (0, 1, n // 12, n // 9, n // 2):
+            x = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64))
+            y = np.unique(np.r_[x[changed:], draw.integers(0, 2**64, changed + n // 50, dtype=np.uint64)])
+            shared = len(np.intersect1d(x, y))
+            assert near_stage.most_shared(near_stage.outline(x), near_stage.outline(y)) >= shared
+    assert near_stage.most_shared(near_stage.outline(x), b"") is None
+    same = np.arange(2000, dtype=np.uint64)  # all in one range
+    assert near_stage.outline(same) == b""
+    far = [np.unique(draw.integers(0, 2**64, 400, dtype=np.uint64)) for _ in range(2)]
+    most = near_stage.most_shared(*map(near_stage.outline, far))
+    assert most / (800 - most) < 0.8  # unrelated sets are ruled out

@@ -91,6 +91,14 @@ def test_packing_loses_no_id(spark, docs):
         assert at == 256 or at & (at - 1) == 0 and at < 256
 
 
+def test_packing_when_the_last_document_fills_a_shard(spark):
+    rows = [(i, "word " * 99) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = pack_documents(docs, vocabulary(), window=64, shard_ids=60).collect()
+    assert sum(r["length"] for r in found) == 8 * len(ids_of(rows[0][1], 2))
+    assert pack_documents(docs.limit(0), vocabulary(), window=64, shard_ids=60).collect() == []
+
+
 def test_packing_prefers_neighbours(spark):
     """Windows of two topics hold one topic each."""
     draw = random.Random(3)
