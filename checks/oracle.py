@@ -108,6 +108,8 @@ Q["cohort_all_students"] = "select * from t_cohort_all"
 Q["cohort_by_year"] = "select * from t_cby"
 Q["cohort_by_year_v0"] = "select * from t_cby_v0"
 Q["first_grade9"] = "select * from t_first9"
+Q["distinct_sketched"] = """
+select academic_year, count(distinct student_id) as units, true as close from school_enrollment group by academic_year"""
 Q["last_enrollment"] = "select * from t_last_enr"
 Q["last_withdrawal"] = "select student_id, cast(withdraw_date as varchar) as withdraw_date, ct from t_last_out"
 Q["enrollment_jumps"] = """
@@ -623,8 +625,8 @@ Q["imputed_mode"] = "select student_id, " + ", ".join(
 ) + ", " + ", ".join(f"round(coalesce(cast({c} as double), (select avg({c}) from t_static)), 6) as {c}" for c in MEAN_COLUMNS) + " from t_static"
 Q["assembled"] = (
     "select student_id, cast(label as double) as label, " + f"{len(X)} as n_features, round("
-    + " + ".join(f"coalesce({number(f)}, (select avg({number(f)}) from t_dataset where cohort <= {TRAIN}), 0)" for f in X)
-    + f", 4) as feature_sum from t_dataset where cohort <= {TRAIN}"
+    + " + ".join(f"round(coalesce({number(f)}, (select avg({number(f)}) from t_dataset where cohort <= {TRAIN}), 0), 6)" for f in X)
+    + f", 6) as feature_sum from t_dataset where cohort <= {TRAIN}"
 )
 
 

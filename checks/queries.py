@@ -272,6 +272,18 @@ query("xtab_school_by_year")(lambda d: X.school_by_year(d.enrollment, d["school"
 # profile
 query("profile_status")(lambda d: P.value_counts(d.enrollment, "current_status", counted="current_status"))
 query("profile_distinct")(lambda d: P.status_totals(d.enrollment))
+
+
+@query("distinct_sketched")
+def _distinct_sketched(d: District) -> DataFrame:
+    """Units per year: exact, and from the sketches of every school and year; whether these agree within three standard errors."""
+    rows = d.enrollment.select("academic_year", "current_school_id", "student_id")
+    kept = shared.durable(P.distinct_sketches(rows, "student_id", "academic_year", "current_school_id"))
+    exact = rows.groupBy("academic_year").agg(F.countDistinct("student_id").alias("units"))
+    both = exact.join(P.merged_distinct(kept, "academic_year"), exact["academic_year"].eqNullSafe(kept["academic_year"])).drop(kept["academic_year"])
+    return both.select("academic_year", "units", (F.abs(F.col("estimate") - F.col("units")) <= F.lit(3 * 1.04 / 2**7) * F.col("units")).alias("close"))
+
+
 query("profile_withdraw_codes")(lambda d: P.value_counts(d.enrollment, "withdraw_code", counted="withdraw_code"))
 query("profile_null_cohorts")(lambda d: P.null_cohorts(d.cohort_all))
 query("profile_school_rows")(lambda d: P.school_records(d.enrollment, [997, 998]))
@@ -391,9 +403,9 @@ def _assembled(d: District) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
     v = vector_to_array("features")
-    total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate(v, F.lit(0.0), lambda a, x: a + F.round(x, 6))
     return M.vectors(d.folds(O.X)[0]).select(
-        "student_id", "label", F.size(v).alias("n_features"), F.round(total, 4).alias("feature_sum"))
+        "student_id", "label", F.size(v).alias("n_features"), F.round(total, 6).alias("feature_sum"))
 
 
 query("subsample")(lambda d: G.subsample(d.saved.select("student_id", "cohort", "label"), O.RATIO))

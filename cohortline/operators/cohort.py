@@ -34,19 +34,23 @@ def grade_normalised(enrollment: DataFrame, roles: Roles = DEFAULT, grades: rang
     )
 
 
-#: Stands for an unknown year: after all others.
-NO_YEAR = 1_000_000
+#: Stands for an unknown year: after all others, which lie within 2**29 of zero. A year that doesn't fit overflows, which is an error.
+NO_YEAR = 2**29
+#: Grades are 32-bit numbers; their offset makes room for unknown ones below all others.
+GRADE_OFFSET, GRADE_SPAN = 2**31 + 1, 2**33
 
 
 def _packed(year: Column, grade: Column) -> Column:
-    """Year and grade as one number that sorts by year (unknown last), then grade (unknown first). A number keeps the
-    minimum per unit in hash aggregation, where a struct would sort all records."""
-    return F.coalesce(year.cast("bigint"), F.lit(NO_YEAR)) * 1000 + F.coalesce(grade.cast("bigint") + 1, F.lit(0))
+    """Year and grade (32-bit numbers) as one number that sorts by year (unknown last), then grade (unknown first). A number keeps the
+    minimum per unit in hash aggregation, where a struct would sort all records; 33 bits hold any grade."""
+    return F.coalesce(year.cast("bigint"), F.lit(NO_YEAR)) * F.lit(GRADE_SPAN) + F.coalesce(
+        grade.cast("int").cast("bigint") + F.lit(GRADE_OFFSET), F.lit(0))
 
 
 def _unpacked(name: str, year_type: T.DataType) -> tuple[Column, Column]:
-    year, grade = F.floor(F.col(name) / 1000), F.col(name) % 1000
-    return F.nullif(year, F.lit(NO_YEAR)).cast(year_type), (F.nullif(grade, F.lit(0)) - 1).cast("int")
+    grade = F.pmod(F.col(name), F.lit(GRADE_SPAN))
+    year = F.expr(f"({name} - pmod({name}, {GRADE_SPAN}L)) div {GRADE_SPAN}L")
+    return F.nullif(year, F.lit(NO_YEAR)).cast(year_type), (F.nullif(grade, F.lit(0)) - F.lit(GRADE_OFFSET)).cast("int")
 
 
 def first_enrollment(enrollment: DataFrame, roles: Roles = DEFAULT, grades: range = HIGH_SCHOOL) -> DataFrame:

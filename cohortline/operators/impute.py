@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,13 +43,42 @@ def feature_array(columns: Sequence[str], types: dict[str, str]) -> Column:
 def array_means(df: DataFrame, size: int, features: str = "features") -> list[float]:
     """Mean of every array position; 0 for a position without values.
 
-    Positions become rows and are pre-aggregated per task, so the plan stays the
-    same size however many features there are."""
-    rows = df.select(F.posexplode(features)).groupBy("pos").agg(F.avg("col").alias("mean")).collect()
-    means = [0.0] * size
-    for r in rows:
-        means[r["pos"]] = 0.0 if r["mean"] is None else r["mean"]
-    return means
+    A task adds up its rows into one vector of sums and one of counts. These partial states are merged by about the square root
+    of so many tasks, and the driver adds up what those have: a bounded number of vectors, however many rows there are. Sums are
+    extended numbers, kept as two doubles, so that the order of rows and tasks doesn't move the means."""
+    schema = "sums array<double>, rests array<double>, counts array<double>"
+
+    def state_of(sums: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        main = sums.astype(float)
+        return pa.RecordBatch.from_pydict({"sums": [main], "rests": [(sums - main).astype(float)], "counts": [counts.astype(float)]})
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, counts = np.zeros(size, np.longdouble), np.zeros(size, np.int64)
+        for b in batches:
+            values, lengths = pc.list_flatten(b["x"]), pc.fill_null(pc.list_value_length(b["x"]), 0).to_numpy(zero_copy_only=False)
+            if not np.isin(lengths, (0, size)).all():
+                raise ValueError(f"every array needs {size} values")
+            known = pc.is_valid(values).to_numpy(zero_copy_only=False).reshape(-1, size)
+            numbers = pc.fill_null(values, 0.0).to_numpy(zero_copy_only=False).reshape(-1, size)
+            sums += numbers.sum(axis=0, dtype=np.longdouble)
+            counts += known.sum(axis=0)
+        yield state_of(sums, counts)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, counts = np.zeros(size, np.longdouble), np.zeros(size)
+        for b in batches:
+            main, rest, n = (b[c].flatten().to_numpy().reshape(-1, size) for c in ("sums", "rests", "counts"))
+            sums += main.sum(axis=0, dtype=np.longdouble) + rest.sum(axis=0, dtype=np.longdouble)
+            counts += n.sum(axis=0)
+        yield state_of(sums, counts)
+
+    if not size:
+        return []
+    mergers = max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    rows = df.select(F.col(features).cast("array<double>").alias("x"))
+    states = rows.mapInArrow(partial, schema).repartition(mergers).mapInArrow(merge, schema).collect()
+    sums, rests, counts = (np.sum([r[c] for r in states], axis=0, dtype=np.longdouble) for c in ("sums", "rests", "counts"))
+    return np.where(counts > 0, (sums + rests) / np.maximum(counts, 1), 0.0).astype(float).tolist()
 
 
 def fill_array(df: DataFrame, means: Sequence[float], features: str = "features") -> DataFrame:

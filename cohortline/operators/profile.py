@@ -22,6 +22,17 @@ def distinct_values(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def distinct_sketches(df: DataFrame, counted: str, *keys: str, precision: int = 14) -> DataFrame:
+    """A HyperLogLog sketch of the values of a column per key (null keys are a key). Sketches are of a bounded size, whatever the number of
+    values, and merge: kept per finest key, they give the distinct counts of any coarser one without the data."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(F.col(counted), precision).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Estimated distinct values per coarser key, from sketches; the standard error is about 1.04 / 2 ** (precision / 2) and less."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def status_totals(enrollment: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
     """Records and units by what their status text contains, and how many distinct
     withdrawal codes occur. One pass per unit, no distinct expansion for the units."""

@@ -112,3 +112,13 @@ def test_one_unit_with_a_third_of_all_records(spark):
     c = K.cohort(hot.unionByName(rest))
     assert c.where("student_id = 7").first()["cohort"] == 2001 - 9 + 13
     assert c.count() == 1 + 40000
+
+
+def test_first_enrollment_keeps_odd_grades(spark):
+    """A record passes by its code alone, so that its numeric grade can be anything."""
+    rows = [(1, 2000, -1, "9"), (1, 2001, 9, "9"), (2, 2000, 9999, "10"), (2, 2000, 99999, "10"), (3, None, 9, "9"), (3, 2005, -300, "9"),
+            (4, 2000, 2**31 - 1, "9"), (5, 2000, -(2**31), "9"), (6, None, 11, "11"), (7, -5, 9, "9"), (7, 3, 9, "9")]
+    df = spark.createDataFrame([(*r, True, "1") for r in rows], "student_id bigint, academic_year int, grade_level int, "
+                               "current_grade_level string, active_status boolean, current_status string")
+    got = {r[0]: tuple(r)[1:] for r in K.first_enrollment(df).collect()}
+    assert got == {1: (2000, -1), 2: (2000, 9999), 3: (2005, -300), 4: (2000, 2**31 - 1), 5: (2000, -(2**31)), 6: (None, 11), 7: (-5, 9)}

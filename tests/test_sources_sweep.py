@@ -237,3 +237,27 @@ def test_a_learner_that_fails_is_noted(spark, instances, tmp_path):
     path = str(tmp_path / "fails")
     summary, _ = W.sweep(rows, ["a", "b"], path, splits, {"dummy": M.GRIDS["dummy"], "naive_bayes": {"alpha": [0.1]}})
     assert summary.count() == 2 and spark.read.parquet(f"{path}/failed").count() == 1
+
+
+def test_rows_of_another_dead_attempt_are_never_published(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows = spark.range(12).selectExpr(
+        "id as student_id", "0d as y_true", "0d as y_pred", "0d as y_prob", "9 as grade", "2003 as test", "2001 as train", "'m' as model",
+        "case when id < 10 then 'aa' else 'bb' end as summary_hash")
+    rows.where("student_id < 4").write.partitionBy(*results.PARTITIONS).parquet(results.attempt_folder(path, "dead"))
+    assert results.read_predictions(spark, path).count() == 0
+    results.write_predictions(rows.where("summary_hash = 'bb'"), path)
+    assert {tuple(r) for r in results.finished(spark, path).collect()} == {("bb", 2)}
+    assert results.write_predictions(rows, path).groupBy("summary_hash").count().orderBy("summary_hash").collect() == [("aa", 10), ("bb", 2)]
+    assert results.write_predictions(rows.limit(0), path).columns[:4] == ["student_id", "y_true", "y_pred", "y_prob"]
+
+
+def test_array_means_from_partial_states(spark):
+    from cohortline.operators.impute import array_means
+
+    rows = [([1.0, None, 3.0],), ([2.0, None, None],), (None,), ([None, None, 6.0],)]
+    df = spark.createDataFrame(rows, "features array<double>").repartition(3)
+    assert array_means(df, 3) == [1.5, 0.0, 4.5]
+    assert array_means(df.limit(0), 3) == [0.0, 0.0, 0.0] and array_means(df, 0) == []
+    plan = df._jdf.queryExecution().toString()
+    assert "Generate" not in plan
