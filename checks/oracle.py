@@ -660,21 +660,19 @@ select 'stratified' as strategy, student_id, cast(label as double) as y_true,
 union all
 select 'uniform', student_id, cast(label as double), case when {draw('student_id')} < 0.5 then 1.0::double else 0.0::double end, 0.5::double
 from t_dataset where cohort >= {TEST}"""
-SMOTE_COLUMNS = ["home_language_count", "race_2more", "race_is_hispanic", "race_ethnicity_is_hispanic",
-                 "grade_level_9_courses_taken", "grade_level_9_mark_is_a", "grade_level_9_susp_count", "grade_level_9_days_absent"]
 T["t_minority"] = "select student_id, " + ", ".join(
-    f"cast(coalesce({c}, 0) as double) as x{i}" for i, c in enumerate(SMOTE_COLUMNS)) + " from t_dataset where label = 1"
-DIST = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(SMOTE_COLUMNS)))
+    f"round(coalesce({number(f)}, (select avg({number(f)}) from t_dataset where cohort <= {TRAIN}), 0), 6)::double as x{i}" for i, f in enumerate(X)
+) + f" from t_dataset where label = 1 and cohort <= {TRAIN}"
+DIST = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(X)))
 T["t_near"] = f"""
 select student_id, cast(rank as int) as rank, neighbour, sqrt(d2) as distance from (
-  select a.student_id, b.student_id as neighbour, {DIST} as d2,
-         row_number() over (partition by a.student_id order by {DIST}, b.student_id) as rank
-  from t_minority a join t_minority b on b.student_id <> a.student_id)
+  select *, row_number() over (partition by student_id order by d2, neighbour) as rank
+  from (select a.student_id, b.student_id as neighbour, {DIST} as d2 from t_minority a join t_minority b on b.student_id <> a.student_id))
 where rank <= 4"""
 Q["smote_neighbours"] = "select student_id, rank, neighbour, round(distance, 6) as distance from t_near"
 Q["smote"] = f"""
 select d.student_id, cast(d.copy as int) as copy, d.neighbour, """ + ", ".join(
-    f"round(a.x{i} + {draw('d.student_id', 'd.copy', seed='gap0')} * (b.x{i} - a.x{i}), 6) as x{i}" for i in range(len(SMOTE_COLUMNS))
+    f"round(a.x{i} + {draw('d.student_id', 'd.copy', seed='gap0')} * (b.x{i} - a.x{i}), 6) as x{i}" for i in range(len(X))
 ) + f"""
 from (select c.student_id, c.copy, n.neighbour
       from (select m.student_id, k.copy, {draw('m.student_id', 'k.copy', seed='pick0')} as u,
@@ -683,6 +681,9 @@ from (select c.student_id, c.copy, n.neighbour
       join t_near n on n.student_id = c.student_id and n.rank = cast(floor(c.u * c.size) as bigint) + 1) d
 join t_minority a on a.student_id = d.student_id join t_minority b on b.student_id = d.neighbour"""
 
+Q["smote_forest"] = """
+select (select count(*) from t_near) as wanted, true as enough, (select count(*) * 2 from t_minority) as made"""
+
 # -- sweep tables ------------------------------------------------------------
 
 SUBSAMPLES, SMOTES = (None, 1.0, 2.5, 5.0), (None, 100, 200, 500)

@@ -18,6 +18,7 @@ from cohortline.operators import labels as L
 from cohortline.operators import metrics as E
 from cohortline.operators import neighbours as N
 from cohortline.operators import profile as P
+from cohortline.operators import projection_forest as H
 from cohortline.operators import reports as X
 from cohortline.operators import reshape as R
 from cohortline.operators import sampling as G
@@ -142,8 +143,10 @@ class District:
 
     @cached_property
     def minority(self) -> DataFrame:
-        values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in O.SMOTE_COLUMNS])
-        return self.saved.where("label = 1").select("student_id", values.alias("features"))
+        """All features of the class-1 rows of a training fold, imputed with its means."""
+        train, _ = self.folds(O.X)
+        return shared.durable(train.where("label = 1").select(
+            "student_id", F.transform("features", lambda x: F.round(x, 6)).alias("features")))
 
     @cached_property
     def catalog(self) -> DataFrame:
@@ -414,7 +417,19 @@ query("subsample_by_cohort")(lambda d: G.subsample(
 query("stratified_kfold")(lambda d: G.stratified_kfold(d.saved.select("student_id", "label"), 5))
 query("smote_neighbours")(lambda d: rounded_all(N.nearest_neighbours(d.minority, 4)))
 query("smote")(lambda d: rounded_all(N.smote(d.minority, 200, 5).select(
-    "student_id", "copy", "neighbour", *[F.col("features")[i].alias(f"x{i}") for i in range(len(O.SMOTE_COLUMNS))])))
+    "student_id", "copy", "neighbour", *[F.col("features")[i].alias(f"x{i}") for i in range(len(O.X))])))
+
+
+@query("smote_forest")
+def _smote_forest(d: District) -> DataFrame:
+    """The approximate neighbours of all class-1 training rows against the exact ones, and synthetic rows made from them."""
+    near = shared.durable(H.approximate_neighbours(d.minority, 4))
+    made = N.smote(d.minority, 200, 5, near=near)
+    found = H.recall(near, N.nearest_neighbours(d.minority, 4))
+    both = found.select("wanted", (F.col("recall") >= 0.9).alias("enough")).unionByName(
+        made.agg(F.count(F.lit(1)).alias("made")), allowMissingColumns=True)
+    return both.agg(F.max("wanted").alias("wanted"), F.max("enough").alias("enough"), F.max("made").alias("made"))
+
 
 
 @query("dummy_baseline")
