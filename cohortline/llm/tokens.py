@@ -123,6 +123,11 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def forget() -> None:
+    """Free the vocabularies and words that an earlier stage has left in this worker, for a stage that needs the room."""
+    encoder.cache_clear()
+
+
 def encoded(batch_texts: pa.Array, path: str, end_id: int, rows: int = 4000):
     """For each text its ids as uint32, with the end id; works on slices of a batch to bound the memory."""
     enc = encoder(path)
