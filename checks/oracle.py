@@ -714,6 +714,26 @@ from t_usable s cross join t_modifiers o cross join t_models m"""
 Q["sweep_configs"] = "select * from t_configs"
 Q["config_hash"] = "select summary_hash, count(*) as n from t_configs group by summary_hash"
 Q["model_grid"] = "select model, params, count(*) as n_fits from t_configs group by model, params"
+T["t_drawn"] = f"""
+select grade, train, test, strategy, label, case when strategy = 'uniform' then cast(u < 0.5 as int) else cast(u < p as int) end as y_pred,
+       case when strategy = 'uniform' then 0.5 else cast(u < p as int) end as y_prob
+from (select grade, train, test, label, {draw('student_id')} as u from t_member where fold = 'test')
+join (select grade, train, test, avg(label) as p from t_member where fold = 'train' group by all) using (grade, train, test)
+cross join (select unnest(['stratified', 'uniform']) as strategy)"""
+T["t_hard"] = """
+select grade, train, test, strategy, round((tp + tn)::double / n, 6) as acc, round(case when tp + fp = 0 then 0 else tp::double / (tp + fp) end, 6) as pre,
+       round(case when tp + fn = 0 then 0 else tp::double / (tp + fn) end, 6) as recall,
+       round(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end, 6) as f1, round(brier, 6) as brier
+from (select grade, train, test, strategy, count(*) as n, count(*) filter (where label = 1 and y_pred = 1) as tp,
+             count(*) filter (where label = 0 and y_pred = 1) as fp, count(*) filter (where label = 1 and y_pred = 0) as fn,
+             count(*) filter (where label = 0 and y_pred = 0) as tn, avg((y_prob - label) * (y_prob - label)) as brier
+      from t_drawn group by all)"""
+Q["sweep_summary"] = f"""
+select c.grade, c.test, c.train, c.model, c.params, c.features, '' as subsampled, '' as smoted, c.summary_hash, c.learner = 'dummy' as baseline, true as sound,
+       h.acc, h.pre, h.recall, h.f1, h.brier
+from t_configs c left join t_hard h on c.learner = 'dummy' and h.strategy = json_extract_string(c.params, '$.strategy')
+     and (h.grade, h.train, h.test) = (c.grade, c.train, c.test)
+where c.test = {TEST} and c.subsample is null and c.smote is null"""
 # -- metrics -----------------------------------------------------------------
 
 TOP = {"0.1%": 0.001, "0.2%": 0.002, "0.5%": 0.005, "1.0%": 0.01, "2.0%": 0.02, "5.0%": 0.05, "10.0%": 0.1, "50.0%": 0.5, "100%": 1.0}

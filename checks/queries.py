@@ -91,13 +91,20 @@ class District:
 
     @cached_property
     def yearly(self) -> DataFrame:
+        return self._yearly(self.cby, True)
+
+    @cached_property
+    def yearly_distinct(self) -> DataFrame:
+        """The yearly table with each different row once, which is all that a choice among rows needs."""
+        return self._yearly(self.cby, False)
+
+    def _yearly(self, cby: DataFrame, repeated: bool) -> DataFrame:
         return Y.yearly_features(
-            self.cby, self["school_attendance"], self["discipline_temp"], self["course_enrollment"], self["course"],
+            cby, self["school_attendance"], self["discipline_temp"], self["course_enrollment"], self["course"],
             self.enrollment, self["school"], attendance_from=ATTENDANCE_FROM, incidents_between=INCIDENTS_BETWEEN,
-            categories=CATEGORIES,
+            categories=CATEGORIES, repeated=repeated,
         )
 
-
     @cached_property
     def latest(self) -> DataFrame:
         return D.latest_yearly_features(
@@ -317,7 +324,7 @@ query("enrollment_summary_by_year")(lambda d: P.enrollment_summary_by_year(d.enr
 
 # dataset
 query("dedup_last")(lambda d: rounded_all(R.dedup_last(
-    d.yearly, ["student_id", "grade_level"], ["academic_year"], ["current_school_id"])))
+    d.yearly_distinct, ["student_id", "grade_level"], ["academic_year"], ["current_school_id"])))
 query("pivot_by_grade")(lambda d: rounded_all(R.pivot_by_time(d.latest.drop("cohort", "academic_year"), O.TIMES)))
 query("one_hot")(lambda d: rounded_all(text_date(R.one_hot(d.static), "date_of_birth")))
 query("one_hot_sparse")(lambda d: R.one_hot_sparse(d.static.select("student_id", *O.STATIC_VOCABULARY)).select(
@@ -570,10 +577,13 @@ def _learners_planted(d: District) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _sweep(d: District) -> tuple[DataFrame, DataFrame]:
+@query("sweep_summary")
+def _sweep(d: District) -> DataFrame:
+    """The sweep of the default grid over the splits of one test year, from the saved dataset to the summary: its nine descriptive
+    columns, the hard metrics of the baselines, and for every row whether all metrics lie in their range."""
     splits = V.temporal_splits(d.saved, test_cohorts=[O.TEST])
-    grid = {"dummy": M.GRIDS["dummy"], "random_forest": M.FOREST_VERY_BEST}
-    return W.sweep(d.saved, R.feature_columns(d.saved), shared.new_path(d.spark, "sweep"), splits, grid)
-
-
-query("sweep_summary")(lambda d: _sweep(d)[0])
+    summary, _ = W.sweep(d.saved, R.feature_columns(d.saved), shared.new_path(d.spark, "sweep"), splits)
+    metrics = [c for c in summary.columns if c not in (*W.SUMMARY_COLUMNS[:9], "baseline")]
+    sound = F.forall(F.array(*[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).cast("double") for c in metrics]), lambda x: x.between(0.0, 1.0))
+    hard = [F.when(F.col("baseline"), F.round(c, 6)).alias(c) for c in ("acc", "pre", "recall", "f1", "brier")]
+    return summary.select(*W.SUMMARY_COLUMNS[:9], "baseline", sound.alias("sound"), *hard)

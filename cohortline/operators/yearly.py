@@ -216,29 +216,60 @@ def school_flags(school: DataFrame, id_col: str = "id", dropped: Sequence[str] =
     return school.select(*out)
 
 
-def school(yearly: DataFrame, enrollment: DataFrame, schools: DataFrame, roles: Roles = DEFAULT,
-           school_col: str = "current_school_id") -> DataFrame:
-    """Add the school of every enrollment record of the unit-year and its attributes."""
-    attended = enrollment.select(roles.unit, roles.year, school_col)
+#: How many equal rows a weighted row stands for.
+WEIGHT = "_times"
+
+
+def weighted(df: DataFrame) -> DataFrame:
+    """Each different row once, and how often it occurs."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(WEIGHT))
+
+
+def expanded(df: DataFrame) -> DataFrame:
+    """The rows as often as their weight says."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(WEIGHT)))).drop("_copy", WEIGHT)
+
+
+def _attended(yearly: DataFrame, enrollment: DataFrame, schools: DataFrame, roles: Roles, school_col: str,
+              unique: bool = False) -> DataFrame:
+    """Weighted rows with every different school of the unit-year. Repeated records multiply weights instead of rows; those that are `unique`
+    need no counting."""
+    keys = [roles.unit, roles.year, school_col]
+    one = F.lit(1).cast("bigint").alias("_seen")
+    times = enrollment.select(*keys, one) if unique else enrollment.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
     flags = school_flags(schools)
     return (
-        yearly.join(attended, [roles.unit, roles.year], "left")
+        yearly.join(times, [roles.unit, roles.year], "left")
+        .withColumn(WEIGHT, F.col(WEIGHT) * F.coalesce("_seen", F.lit(1))).drop("_seen")
         .join(flags, F.col(school_col) == flags["school_id"], "left")
         .drop(flags["school_id"])
     )
 
 
+def school(yearly: DataFrame, enrollment: DataFrame, schools: DataFrame, roles: Roles = DEFAULT,
+           school_col: str = "current_school_id") -> DataFrame:
+    """Add the school of every enrollment record of the unit-year and its attributes. Rows are multiplied at the end only."""
+    return expanded(_attended(weighted(yearly), enrollment, schools, roles, school_col))
+
+
 def yearly_features(cby: DataFrame, attendance: DataFrame, incidents: DataFrame, taken: DataFrame,
                     catalog: DataFrame, enrollment: DataFrame, schools: DataFrame, roles: Roles = DEFAULT,
                     attendance_from: int = ATTENDANCE_FROM,
                     incidents_between: tuple[int, int] = INCIDENTS_BETWEEN,
-                    categories: Mapping[str, Sequence[str]] = INCIDENT_CATEGORIES) -> DataFrame:
-    """The whole yearly feature table, repeated unit-years kept."""
-    out = yearly_base(cby, roles)
+                    categories: Mapping[str, Sequence[str]] = INCIDENT_CATEGORIES, repeated: bool = True,
+                    unique: bool = False) -> DataFrame:
+    """The whole yearly feature table, repeated unit-years kept.
+
+    Repeated rows of the unit-by-year table and of the enrollment records go through all joins once, with a weight; a unit-year
+    of m records never makes m x m rows before the result. `repeated=False` leaves each different row once; `unique=True` says that
+    neither table repeats a row, so that nothing is weighed."""
+    base = yearly_base(cby, roles)
+    out = base.withColumn(WEIGHT, F.lit(1).cast("bigint")) if unique else weighted(base)
     out = absences(out, attendance, roles, attendance_from)
     out = discipline(out, incidents, roles, categories=categories, between=incidents_between)
     out = courses(out, taken, catalog, roles)
-    return school(out, enrollment, schools, roles)
+    out = _attended(out, enrollment, schools, roles, "current_school_id", unique)
+    return expanded(out) if repeated and not unique else out.drop(WEIGHT)
 
 
 def yearly_features_v0(cby: DataFrame, attendance: DataFrame, incidents: DataFrame, enrollment: DataFrame,
@@ -248,13 +279,13 @@ def yearly_features_v0(cby: DataFrame, attendance: DataFrame, incidents: DataFra
     absences as well as suspensions."""
     first, last = incidents_between
     incident_years = discipline_oct_year(incidents, roles)
-    joined = cby.join(
+    joined = weighted(cby).join(
         attendance.select(roles.unit, roles.year, *ABSENCES), [roles.unit, roles.year], "left"
     ).join(incident_years, [roles.unit, roles.year], "left")
     suspended = [c for c in incident_years.columns if c not in (roles.unit, roles.year)]
     filled = joined.select(
-        roles.unit, roles.cohort, roles.year, roles.time,
+        roles.unit, roles.cohort, roles.year, roles.time, WEIGHT,
         *[C.covered(roles.year, F.col(c), attendance_from).alias(c) for c in ABSENCES],
         *[C.covered(roles.year, F.col(c), first, last).alias(c) for c in suspended],
     )
-    return school(filled, enrollment, schools, roles)
+    return expanded(_attended(filled, enrollment, schools, roles, "current_school_id"))

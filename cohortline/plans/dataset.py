@@ -32,7 +32,7 @@ def latest_yearly_features(cby: DataFrame, attendance: DataFrame, incidents: Dat
     latest = dedup_last(cby, [roles.unit, roles.time], [roles.year])
     absent = dedup_last(attendance, [roles.unit, roles.year], [], list(Y.ABSENCES))
     attended = enrollment.groupBy(roles.unit, roles.year).agg(F.min(school_col).alias(school_col))
-    return Y.yearly_features(latest, absent, incidents, taken, catalog, attended, schools, roles, **options)
+    return Y.yearly_features(latest, absent, incidents, taken, catalog, attended, schools, roles, unique=True, **options)
 
 
 def build_dataset(static: DataFrame, yearly: DataFrame, labels: DataFrame, times: Sequence[int],

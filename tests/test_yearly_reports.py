@@ -105,3 +105,15 @@ def test_latest_features_equal_dedup_after_fan_out(district):
 def test_reports_can_be_read_newest_first(spark):
     df = spark.createDataFrame([(2001,), (None,), (2003,)], "cohort_yr int")
     assert [r[0] for r in X.newest_first(df, "cohort_yr").collect()] == [None, 2003, 2001]
+
+
+def test_repeated_records_go_through_joins_once(spark):
+    """A unit-year of 300 records gives 300 x 300 rows, but no join sees more than its different rows."""
+    yearly = spark.createDataFrame([(1, 2000, 5)] * 300 + [(2, 2001, 6), (2, 2001, 6), (3, 1999, None)], "student_id bigint, academic_year int, v int")
+    attended = spark.createDataFrame([(1, 2000, 7)] * 200 + [(1, 2000, 8)] * 99 + [(1, 2000, None), (2, 2001, 7)],
+                                     "student_id bigint, academic_year int, current_school_id int")
+    schools = spark.createDataFrame([(7, "a", "E"), (8, "b", None)], "id int, name string, grade_span string")
+    got = Y.school(yearly, attended, schools).groupBy("student_id", "v", "current_school_id", "school_is_elementary").count().collect()
+    assert {(*tuple(r)[:3], bool(r[3]), r[4]) for r in got} == {
+        (1, 5, 7, True, 60000), (1, 5, 8, False, 29700), (1, 5, None, False, 300), (2, 6, 7, True, 2), (3, None, None, False, 1)}
+    assert Y.weighted(yearly).count() == 3 and Y.expanded(Y.weighted(yearly)).count() == 303
