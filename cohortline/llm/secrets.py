@@ -40,28 +40,13 @@ WORDS = (
     "blue red green black white silver gold orange"
 ).split()
 KEY_ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz")
-DATE = re.compile(r"(?a)(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|"
-                  r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+# Forms of dates, each at any place of a value.
+DATES = [re.compile(rf"(?a)(?=({form}))") for form in (
+    r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\2(?:0[1-9]|[12]\d|3[01])",
+    r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d", r"(?:19|20)\d\d")]
 LEET = str.maketrans("@430157$!", "aaeoistsi")
 
 
-def _walks(value: str) -> Iterable[tuple[int, int, float]]:
-    """Runs of three or more neighbours on a keyboard row or in the alphabet, forwards or backwards."""
-    low = value.lower()
-    for row in KEY_ROWS:
-        for line in (row, row[::-1]):
-            at = 0
-            while at < len(low) - 2:
-                end = at + 1
-                place = line.find(low[at])
-                while place >= 0 and end < len(low) and place + end - at < len(line) and low[end] == line[place + end - at]:
-                    end += 1
-                if end - at >= 3:
-                    yield at, end, math.log2(2 * len(KEY_ROWS) * len(row) * (end - at))
-                    at = end - 1
-                at += 1
-
-
 def _alphabet(c: str) -> float:
     if c.isdigit():
         return math.log2(10)
@@ -78,32 +63,48 @@ class GuessCost:
         self.longest = max(map(len, self.rank), default=0)
 
     def bits(self, value: str) -> float:
-        n, jumps = len(value), {}
-        jump = lambda a, b, cost: jumps.setdefault(b, []).append((a, cost))
-        for m in DATE.finditer(value):
-            jump(m.start(), m.end(), math.log2(365 * 130) if m.end() - m.start() > 4 else math.log2(130))
-        for a, b, cost in _walks(value):
-            jump(a, b, cost)
-        plain = value.lower().translate(LEET)
-        plain = plain if len(plain) == n else value  # a letter whose small form is longer
+        """Dates at every place, every part of a walk and every number of repeats compete; time grows about with the length."""
+        n, dates = len(value), {}
+        for form in DATES:
+            for m in form.finditer(value):
+                dates.setdefault(m.end(1), []).append((m.start(1), math.log2(365 * 130) if m.end(1) - m.start(1) > 4 else math.log2(130)))
+        low = value.lower()
+        low = low if len(low) == n else value  # a letter whose small form is longer
+        plain = low.translate(LEET)
         best = [0.0] * (n + 1)
         same = dict.fromkeys((1, 2, 3, 4), 0)  # for each size of block: so many letters up to here equal the one a block before
+        starts = {size: [[] for _ in range(size)] for size in same}  # where repeats may begin, by the place in the block
+        lines = [line for row in KEY_ROWS for line in (row, row[::-1])]
+        runs = [0] * len(lines)  # for each line: so many letters up to here follow each other on it
         mixed = math.log2(3)  # which kind of span comes next
         for j in range(1, n + 1):
+            letter = low[j - 1]
             cost = best[j - 1] + _alphabet(value[j - 1]) + (1.0 if value[j - 1].isupper() else 0.0)
             for i in range(max(0, j - self.longest), j - 2):
                 rank = self.rank.get(plain[i:j])
                 if rank:
                     own = value[i:j]
                     cost = min(cost, best[i] + mixed + math.log2(rank + 1) + (own != own.lower()) + (own.lower() != plain[i:j]))
-            for i, own in jumps.get(j, ()):
+            for i, own in dates.get(j, ()):
                 cost = min(cost, best[i] + mixed + own)
-            for size in same:  # a block repeated up to here, at least three times
+            for k, line in enumerate(lines):
+                place = line.find(letter)
+                runs[k] = 0 if place < 0 else runs[k] + 1 if j > 1 and place and runs[k] and line[place - 1] == low[j - 2] else 1
+                for length in range(3, runs[k] + 1):
+                    cost = min(cost, best[j - length] + mixed + math.log2(2 * len(KEY_ROWS) * len(line) * length))
+            for size in same:
                 same[size] = same[size] + 1 if j > size and value[j - 1] == value[j - 1 - size] else 0
-                times = same[size] // size + 1
-                if times >= 3:
-                    i = j - size * times
-                    cost = min(cost, best[i] + mixed + sum(map(_alphabet, value[j - size : j])) + math.log2(times))
+                if not same[size]:
+                    for kept in starts[size]:
+                        kept.clear()
+                elif same[size] >= 2 * size:  # a block repeated up to here, at least three times
+                    kept, i = starts[size][j % size], j - 3 * size
+                    # A longer repeat that is no dearer now stays so, since log2 grows ever slower: a new start has to be cheaper.
+                    if all(best[k] + math.log2((j - k) // size) > best[i] + math.log2(3) for k in kept):
+                        kept[:] = [k for k in kept if best[k] < best[i]]
+                        kept.append(i)
+                    block = sum(map(_alphabet, value[j - size : j]))
+                    cost = min(cost, min(best[k] + math.log2((j - k) // size) for k in kept) + mixed + block)
             best[j] = cost
         return best[n]
 

@@ -1,6 +1,7 @@
 """Packing, token files, decontamination, licences, secrets, quality and HTML."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -332,3 +333,39 @@ def test_guess_cost_of_a_long_rule_is_one_repeat(spark):
     assert cost.bits("-" * 521) < cost.bits("-" * 300) + 1 < 17 and cost.bits("ab-=" * 400) < 45
     (row,) = secrets.find_secrets(spark.createDataFrame([(1, "password = " + "-" * 600)], "doc_id long, text string")).collect()
     assert row["n_guess"] == 0
+
+
+def brute_bits(value, words):
+    """The same prices over all segmentations."""
+    rank = {w: i + 1 for i, w in reversed(list(enumerate(words)))}
+    n, low = len(value), value.lower()
+    plain = low.translate(secrets.LEET)
+    best = [0.0] + [math.inf] * n
+    lines = [x for row in secrets.KEY_ROWS for x in (row, row[::-1])]
+    for j in range(1, n + 1):
+        best[j] = best[j - 1] + secrets._alphabet(value[j - 1]) + (1.0 if value[j - 1].isupper() else 0.0)
+        for i in range(j):
+            part, costs = value[i:j], []
+            if j - i >= 3 and plain[i:j] in rank:
+                costs.append(math.log2(rank[plain[i:j]] + 1) + (part != part.lower()) + (part.lower() != plain[i:j]))
+            if any(re.fullmatch(f.pattern.replace("(?a)(?=(", "(?a)(", 1)[:-1], part) for f in secrets.DATES):
+                costs.append(math.log2(365 * 130) if j - i > 4 else math.log2(130))
+            if j - i >= 3:
+                costs += [math.log2(2 * len(secrets.KEY_ROWS) * len(x) * (j - i)) for x in lines if low[i:j] in x]
+            for size in (1, 2, 3, 4):
+                times = (j - i) // size
+                if times >= 3 and part == part[:size] * times:
+                    costs.append(sum(map(secrets._alphabet, part[:size])) + math.log2(times))
+            if costs:
+                best[j] = min(best[j], best[i] + math.log2(3) + min(costs))
+    return best[n]
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
+    cost, draw = secrets.GuessCost(), random.Random(8)
+    parts = ["qwerty", "201999-12-31", "1999", "1999-12-31", "31.12.2019", "12341234", "aaa", "ddddd", "password", "P@ssw0rd", "abcdefg", "zyx",
+             "ababab", "7", "x", "Q", "--", "fgh", "lkjh", "19", "0", "é", "abcabcabcabc", "20201231", "2012"]
+    values = ["qwerty201999-12-31", "passwordddd", "1" * 40 + "999-01-01"] + ["".join(draw.choices(parts, k=draw.randint(1, 5))) for _ in range(1500)]
+    for value in values:
+        assert cost.bits(value) == pytest.approx(brute_bits(value, secrets.WORDS)), value
+    assert cost.bits("-" * 5000) < 20 and cost.bits("ab" * 3000) < 30
