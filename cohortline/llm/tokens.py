@@ -17,10 +17,10 @@ import pyarrow.compute as pc
 
 from cohortline.llm.common import ranges
 
-#: Words, and forms in which they stand in texts, kept by a worker; a full cache is emptied. It only saves time.
-CACHED_WORDS, CACHED_FORMS = 700_000, 500_000
+#: Words kept by a worker; a full cache is emptied. It only saves time.
+CACHED_WORDS = 1_000_000
 #: A word of Latin letters and the stops after it: normalisation leaves these letters alone, but for capitals.
-PLAIN = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([.,]*)")
+LATIN = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+"
 LETTERS = re.compile("[a-z\u00DF-\u00F6\u00F8-\u012F\u0131-\u024F]+")
 
 
@@ -44,8 +44,8 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 class WordEncoder:
     """ids_of(texts): all ids end to end and the number of ids of each text, as the tokenizer gives them without special tokens.
 
-    A form is what stands between white space. It is one word, or a plain word and the stops after it; both are codes into
-    the list of known words."""
+    A form is what stands between white space. It is one word, or a plain word without its capitals and the stops after it, which are
+    tokens of their own; Arrow takes forms apart, and only distinct words are looked up one by one."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,15 +57,8 @@ class WordEncoder:
 
     def _empty(self) -> None:
         self.code: dict[str, int] = {"": 0}
-        self.forms: dict[str, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])
 
-    @staticmethod
-    def _split(form: str) -> tuple[str, str]:
-        """A plain word without its capitals and its last stops, and these stops: they are tokens of their own."""
-        m = PLAIN.fullmatch(form)
-        return (m[1].lower(), m[2]) if m else (form, "")
-
     def _learn(self, words: list[str]) -> None:
         """Adds words. Latin letters are one piece for the model; what else there is goes through the whole tokenizer."""
         other = []
@@ -82,31 +75,32 @@ class WordEncoder:
             self.ids.extend(got.ids)
             self.ends.append(len(self.ids))
 
-    def _codes(self, forms: list[str]) -> np.ndarray:
-        """The code of a form's word in the upper, of its stops in the lower half of a number."""
-        if len(self.forms) + len(forms) > CACHED_FORMS:
-            self.forms = {}
-        new = {f: self._split(f) for f in forms if f not in self.forms}
-        words = dict.fromkeys(x for p in new.values() for x in p if x not in self.code)
+    def _codes(self, words: list[str]) -> np.ndarray:
+        """The code of each of some distinct words."""
         if len(self.code) + len(words) > CACHED_WORDS:
             self._empty()
-            new = {f: self._split(f) for f in forms}
-            words = dict.fromkeys(x for p in new.values() for x in p if x)
-        listed = list(words)
-        for at in range(0, len(listed), 20_000):
-            self._learn(listed[at : at + 20_000])
-        code = self.code
-        self.forms.update((f, code[a] << 32 | code[b]) for f, (a, b) in new.items())
-        known = self.forms
-        return np.fromiter((known[f] for f in forms), np.int64, len(forms))
+        new = [w for w in words if w not in self.code]
+        for at in range(0, len(new), 20_000):
+            self._learn(new[at : at + 20_000])
+        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+
+    def _parts(self, forms: pa.Array) -> np.ndarray:
+        """For each form the codes of its word and of its stops."""
+        plain = pc.match_substring_regex(forms, f"^{LATIN}[.,]*$")
+        words = pc.if_else(plain, pc.utf8_lower(pc.utf8_rtrim(forms, ".,")), forms).dictionary_encode()
+        stops = pc.if_else(plain, pc.replace_substring_regex(forms, f"^{LATIN}", ""), "").dictionary_encode()
+        listed, ends = words.dictionary.to_pylist(), stops.dictionary.to_pylist()
+        known = set(listed)
+        codes = self._codes(listed + [e for e in ends if e not in known])  # at once, so that no code is forgotten between
+        end_codes = np.fromiter(map(self.code.__getitem__, ends), np.int64, len(ends))
+        return np.stack([codes[words.indices.to_numpy()], end_codes[stops.indices.to_numpy()]], axis=1)
 
     def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        codes = self._codes(words.dictionary.to_pylist())
+        parts = self._parts(words.dictionary).ravel()
         ends = np.frombuffer(self.ends, np.int64)
         starts = np.r_[0, ends[:-1]]
-        parts = np.stack([codes >> 32, codes & 0xFFFFFFFF], axis=1).ravel()
         own = ends[parts] - starts[parts]
         word_ids = np.frombuffer(self.ids, np.uint32)[ranges(starts[parts], own)] if len(self.ids) else np.empty(0, np.uint32)
         lengths = own.reshape(-1, 2).sum(axis=1)
