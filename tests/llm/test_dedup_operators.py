@@ -210,6 +210,27 @@ def test_near_stage_matches_brute_force_just_above_the_limit(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("earlier", [1, 32])
+def test_near_stage_of_a_loose_group_matches_brute_force(spark, monkeypatch, earlier):
+    """Variants of one text, a third of all pairs similar: each pair is met at the first crowded shingle that both have, also
+    where only one earlier shingle is carried."""
+    monkeypatch.setattr(near_stage, "EARLIER", earlier)
+    monkeypatch.setattr(near_stage, "CROWDED", 3)
+    draw = random.Random(earlier)
+    base = [f"w{i}" for i in range(140)]
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for at in draw.sample(range(140), draw.choice((1, 2, 3, 4, 6, 9))):
+            own[at] = f"x{draw.randrange(6)}"  # edits meet as well
+        rows.append((i, " ".join(own)))
+    sets = {i: set(near_stage.shingle_set(t, 5).tolist()) for i, t in rows}
+    want = brute_groups(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    assert 3 < len(set(want.values())) < 100
+    out = near_stage.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(want.values()))
+
+
 def test_outlines_never_rule_out_similar_sets():
     draw = np.random.default_rng(5)
     for n in (1, 2, 5, 17, 300, 3000):
