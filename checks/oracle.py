@@ -828,6 +828,23 @@ select student_id, y_true, y_pred, y_prob, 9 as grade, 2002 as test, 1999 as tra
 for _name in ("rf_scores", "dt_scores", "gbt_scores", "lr_scores", "nb_scores"):
     Q[_name] = f"""
 select student_id, cast(label as double) as y_true, true as in_range, true as consistent from t_dataset where cohort >= {TEST}"""
+# Multinomial naive Bayes in closed form, over counts and every category value that any unit has.
+_COUNTS = [c for c in X if c.startswith("grade_level_") and ("mark_is" in c or "course" in c or "disc_" in c)]
+_DUMMIES = [f"{c}_{v}" for c, vs in VOCABULARY.items() for v in vs]
+Q["nb_sparse"] = f"""
+select * from (with size as (select {len(_COUNTS)} + {' + '.join(f'coalesce(max("{f}"), 0)' for f in _DUMMIES)} as d from t_features),
+rows as (select student_id, cohort, label, [{', '.join(number(f) for f in [*_COUNTS, *_DUMMIES])}] as x from t_dataset),
+cells as (select student_id, cohort, label, unnest(x) as v, generate_subscripts(x, 1) as i from rows),
+means as (select i, coalesce(avg(v) filter (where cohort <= {TRAIN}), 0) as m from cells group by i),
+filled as (select student_id, cohort, label, i, coalesce(v, m) as v from cells join means using (i)),
+sums as (select label, i, sum(v) as s from filled where cohort <= {TRAIN} group by label, i),
+totals as (select label, sum(s) as t from sums group by label),
+theta as (select label, i, ln((s + 0.1) / (t + 0.1 * d)) as w from sums join totals using (label), size),
+prior as (select label, ln(count(*) + 0.1) as p from t_dataset where cohort <= {TRAIN} group by label),
+odds as (select i, max(w) filter (where label = 1) - max(w) filter (where label = 0) as o from theta group by i),
+scores as (select student_id, max(f.label) as label, sum(v * o) as z from filled f join odds using (i) where cohort >= {TEST} group by student_id)
+select student_id, cast(label as double) as y_true, round(1 / (1 + exp(
+  (select p from prior where label = 0) - (select p from prior where label = 1) - z)), 6) as y_prob from scores) nb"""
 Q["learners_planted"] = " union all ".join(
     f"select '{n}' as learner, student_id, cast(label as double) as y_true, cast(label as double) as y_pred from t_dataset where cohort >= {TEST}"
     for n in ("decision_tree", "gradient_boosting", "logistic_regression", "random_forest"))

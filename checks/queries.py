@@ -559,6 +559,17 @@ query("gbt_scores")(lambda d: _scores(
     d, "gradient_boosting", {"learning_rate": 0.1, "n_estimators": 5, "max_depth": 3, "subsample": 0.5, "max_features": "sqrt"}))
 query("lr_scores")(lambda d: _scores(d, "logistic_regression", {"penalty": "l2", "C": 0.01}))
 query("nb_scores")(lambda d: _scores(d, "naive_bayes", {"alpha": 0.1}, COUNTS))
+
+
+@query("nb_sparse")
+def _nb_sparse(d: District) -> DataFrame:
+    """Naive Bayes on the sparse dataset: the counts, which are never negative, and every category. Scores have a closed form."""
+    data = shared.durable(D.build_dataset(d.static, d.latest, d.label, O.TIMES, dropped=O.STATIC_DROPPED, unique=True, sparse=True))
+    train, test = W.imputed_folds(data, [*COUNTS, *R.blocks_of(data)], O.TRAIN, O.TEST)
+    scored = M.fit_score(shared.durable(M.vectors(train)), M.vectors(test), "naive_bayes", {"alpha": 0.1})
+    return scored.select("student_id", "y_true", F.round("y_prob", 6).alias("y_prob"))
+
+
 query("feature_importance")(lambda d: E.feature_importance(
     M.fit(_planted(d, O.X)[0], "decision_tree", {"criterion": "gini", "max_features": None, "max_depth": 1}), [*O.X, "planted"]))
 

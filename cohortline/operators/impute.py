@@ -37,7 +37,7 @@ def fit_means(df: DataFrame, columns: Sequence[str]) -> Fill:
 def feature_array(columns: Sequence[str], types: dict[str, str]) -> Column:
     """The columns as one array of doubles (booleans as 0/1), nulls kept."""
     values = [f"cast({quoted(c)} as int)" if types[c] == "boolean" else quoted(c) for c in columns]
-    return F.expr("array(" + ", ".join(f"cast({v} as double)" for v in values) + ")")
+    return F.expr("cast(array(" + ", ".join(f"cast({v} as double)" for v in values) + ") as array<double>)")
 
 
 def array_means(df: DataFrame, size: int, features: str = "features") -> list[float]:
@@ -83,6 +83,8 @@ def array_means(df: DataFrame, size: int, features: str = "features") -> list[fl
 
 def fill_array(df: DataFrame, means: Sequence[float], features: str = "features") -> DataFrame:
     """Replace nulls of the array by the mean of their position."""
+    if not means:
+        return df
     return df.withColumn(
         features, F.zip_with(features, F.lit(list(means)), lambda x, m: F.coalesce(x, m))
     )

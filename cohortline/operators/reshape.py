@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortline.functions.columns import quoted, text_literal
 from cohortline.operators.ranking import running_totals
 from cohortline.roles import DEFAULT, Roles
+from cohortline.sources.shared import durable
 
 Vocabulary = dict[str, list[str]]
+#: Column of the encoded categories in a sparse dataset.
+CATEGORIES = "categories"
 
 
 def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], ties: Sequence[str] = ()) -> DataFrame:
@@ -77,6 +80,51 @@ def one_hot_sparse(df: DataFrame, columns: Sequence[str] | None = None, vocabula
     return long.join(vocabulary, ["c", "v"], "left").groupBy(roles.unit).agg(F.sort_array(F.collect_list("index")).alias("indices"))
 
 
+def blocks_of(df: DataFrame) -> dict[str, tuple[int, int]]:
+    """First number and end of each encoded column's block; empty for a dense table."""
+    if CATEGORIES not in df.columns:
+        return {}
+    return {c: (lo, hi) for c, (lo, hi) in df.schema[CATEGORIES].metadata["blocks"].items()}
+
+
+def with_categories(df: DataFrame, columns: Sequence[str] | None = None, vocabulary: DataFrame | None = None,
+                    roles: Roles = DEFAULT) -> DataFrame:
+    """The text columns replaced by one column CATEGORIES, the positions of a unit's ones; zeros are not stored. Units must be unique,
+    rows without a unit are left out.
+
+    The values of a column have consecutive numbers. Where each block starts and ends is kept in the column's metadata, which goes
+    to Parquet and back; the values themselves stay in tables."""
+    columns = string_columns(df.drop(roles.unit)) if columns is None else list(columns)
+    if not columns:
+        none = F.array().cast("array<bigint>")
+        return df.withColumn(CATEGORIES, none.alias(CATEGORIES, metadata={"blocks": {}}))
+    df = durable(df)
+    vocabulary = durable(sparse_vocabulary(df, columns) if vocabulary is None else vocabulary)
+    found = vocabulary.groupBy("c").agg(F.min("index").alias("lo"), (F.max("index") + 1).alias("hi")).collect()  # one row a column
+    blocks = {c: [0, 0] for c in columns} | {r["c"]: [r["lo"], r["hi"]] for r in found}
+    ones = one_hot_sparse(df.select(roles.unit, *columns), columns, vocabulary, roles)
+    return df.drop(*columns).join(ones, roles.unit).withColumn(
+        CATEGORIES, F.col("indices").alias(CATEGORIES, metadata={"blocks": blocks})).drop("indices")
+
+
+def block_positions(blocks: Mapping[str, tuple[int, int]], columns: Sequence[str]) -> tuple[Column, int]:
+    """The positions in CATEGORIES that belong to `columns`, numbered from 0 without gaps, and how many numbers there are."""
+    ranges: list[list[int]] = []
+    for lo, hi in sorted(blocks[c] for c in columns):
+        if ranges and ranges[-1][1] == lo:
+            ranges[-1][1] = hi
+        elif hi > lo:
+            ranges.append([lo, hi])
+    def renumbered(lo: int, hi: int, first: int) -> Column:
+        return F.transform(F.filter(CATEGORIES, lambda i: (i >= lo) & (i < hi)), lambda i: i + F.lit(first - lo))
+
+    parts, size = [], 0
+    for lo, hi in ranges:
+        parts.append(renumbered(lo, hi, size))
+        size += hi - lo
+    return (F.concat(*parts) if parts else F.array().cast("array<bigint>")), size
+
+
 def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None) -> Vocabulary:
     """Distinct values of each column, all columns in one pass.
 
@@ -105,15 +153,16 @@ def one_hot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]] | None = None
 
 def extract_features(static: DataFrame, yearly: DataFrame, times: Sequence[int], roles: Roles = DEFAULT,
                      ties: Sequence[str] = (), columns_to_dummy: Sequence[str] | None = None,
-                     vocabulary: Mapping[str, Sequence[str]] | None = None, unique: bool = False) -> DataFrame:
-    """Static features merged with the pivoted yearly features, categories encoded.
+                     vocabulary: Mapping[str, Sequence[str]] | None = None, unique: bool = False,
+                     sparse: bool = False) -> DataFrame:
+    """Static features merged with the pivoted yearly features, categories encoded (`sparse`: by `with_categories`).
 
     The latest record of a repeated step is used (`unique`: there is none, so nothing is sorted); units missing on either side
     stay, with nulls. Date columns are no categories and pass unchanged."""
     latest = yearly if unique else dedup_last(yearly, [roles.unit, roles.time], [roles.year], ties)
     wide = pivot_by_time(latest.drop(roles.cohort, roles.year), times, roles=roles)
     merged = static.join(wide, roles.unit, "full")
-    return one_hot(merged, vocabulary, columns_to_dummy)
+    return with_categories(merged, columns_to_dummy, roles=roles) if sparse else one_hot(merged, vocabulary, columns_to_dummy)
 
 
 def labelled(labels: DataFrame, roles: Roles = DEFAULT, outcome: str = "outcome_label") -> DataFrame:
@@ -129,6 +178,7 @@ def extract_instances(features: DataFrame, labels: DataFrame, roles: Roles = DEF
 
 def feature_columns(df: DataFrame, roles: Roles = DEFAULT, dropped: Sequence[str] = (),
                     keep_cohort: bool = False) -> list[str]:
-    """All columns but the identifying roles and the dropped ones."""
+    """All columns but the identifying roles and the dropped ones; encoded columns by their own names."""
     out = {roles.unit, roles.time, roles.label, *dropped} | (set() if keep_cohort else {roles.cohort})
-    return [c for c in df.columns if c not in out]
+    names = [c for c in df.columns if c != CATEGORIES or CATEGORIES in out]
+    return [c for c in [*names, *blocks_of(df)] if c not in out]

@@ -38,12 +38,14 @@ def latest_yearly_features(cby: DataFrame, attendance: DataFrame, incidents: Dat
 def build_dataset(static: DataFrame, yearly: DataFrame, labels: DataFrame, times: Sequence[int],
                   roles: Roles = DEFAULT, dropped: Sequence[str] = (), ties: Sequence[str] = (),
                   columns_to_dummy: Sequence[str] | None = None,
-                  vocabulary: Mapping[str, Sequence[str]] | None = None, unique: bool = False) -> DataFrame:
+                  vocabulary: Mapping[str, Sequence[str]] | None = None, unique: bool = False,
+                  sparse: bool = False) -> DataFrame:
     """Features and label of every unit with a known outcome.
 
-    `dropped` names static columns (dates, ages) that are no features."""
+    `dropped` names static columns (dates, ages) that are no features. `sparse` keeps the categories as positions of ones, so that
+    no category value becomes a column or reaches the driver."""
     features = extract_features(
-        static.drop(*dropped), yearly, times, roles, ties, columns_to_dummy, vocabulary, unique
+        static.drop(*dropped), yearly, times, roles, ties, columns_to_dummy, vocabulary, unique, sparse
     )
     return extract_instances(features, labelled(labels, roles), roles)
 
@@ -71,7 +73,8 @@ def observed_steps(yearly: DataFrame, roles: Roles = DEFAULT) -> list[int]:
 
 def fetch_data(spark: SparkSession, district: str, root: str | None = None, jdbc: Mapping[str, str] | None = None,
                cache: str | None = None, times: Sequence[int] | None = None, roles: Roles = DEFAULT,
-               dropped: Sequence[str] = (), ties: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
+               dropped: Sequence[str] = (), ties: Sequence[str] = (),
+               sparse: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """(dataset, feature catalog) of a district's materialised feature tables.
 
     With `cache` the dataset is written there on the first call and read
@@ -80,7 +83,8 @@ def fetch_data(spark: SparkSession, district: str, root: str | None = None, jdbc
 
     def build() -> DataFrame:
         steps = observed_steps(tables.yearly, roles) if times is None else times
-        vocabulary = dataset_vocabulary(tables.static, tables.yearly, steps, roles, dropped, ties)
-        return build_dataset(tables.static, tables.yearly, tables.label, steps, roles, dropped, ties, vocabulary=vocabulary)
+        vocabulary = None if sparse else dataset_vocabulary(tables.static, tables.yearly, steps, roles, dropped, ties)
+        return build_dataset(
+            tables.static, tables.yearly, tables.label, steps, roles, dropped, ties, vocabulary=vocabulary, sparse=sparse)
 
     return (build() if cache is None else cached(spark, cache, build)), tables.catalog

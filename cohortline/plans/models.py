@@ -13,15 +13,18 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.hashing import uniform
 from cohortline.operators.impute import array_means, feature_array, fill_array
+from cohortline.operators.reshape import block_positions, blocks_of
 from cohortline.roles import DEFAULT, Roles
 
 Grid = Mapping[str, Mapping[str, Sequence]]
+ONES = "ones"  # positions of the categories of a sparse dataset
 MAX_DEPTH = 30  # deepest tree Spark ML can build; stands for "no limit"
 
 # Parameter grids per learner. None means "all features" or "no limit".
@@ -139,11 +142,15 @@ def learner(name: str, params: Mapping, train_rows: int = 1, roles: Roles = DEFA
 
 
 def assemble(df: DataFrame, columns: Sequence[str], roles: Roles = DEFAULT, extra: Iterable[str] = ()) -> DataFrame:
-    """Unit, label and one array of features, nulls kept for imputation."""
-    return df.select(
-        roles.unit, F.col(roles.label).cast("double").alias(roles.label), *extra,
-        feature_array(columns, dict(df.dtypes)).alias("features"),
-    )
+    """Unit, label and one array of features, nulls kept for imputation. Of a sparse dataset the array has the numbers only, and
+    ONES the positions of the chosen categories behind them."""
+    blocks = blocks_of(df)
+    dense = [c for c in columns if c not in blocks]
+    out = [feature_array(dense, dict(df.dtypes)).alias("features")]
+    if len(dense) < len(columns):
+        ones, size = block_positions(blocks, [c for c in columns if c in blocks])
+        out.append(ones.cast("array<string>").alias(ONES, metadata={"size": size}))
+    return df.select(roles.unit, F.col(roles.label).cast("double").alias(roles.label), *extra, *out)
 
 
 def impute_arrays(train: DataFrame, test: DataFrame, size: int, per_fold: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -153,11 +160,19 @@ def impute_arrays(train: DataFrame, test: DataFrame, size: int, per_fold: bool =
 
 
 def vectors(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
-    """Feature arrays as ML vectors; a missing value is an error."""
+    """Feature arrays (and positions of ones, if any) as ML vectors; a missing value is an error."""
     complete = F.when(~F.exists("features", lambda x: x.isNull()), F.col("features")).otherwise(
         F.raise_error(F.lit("features contain a missing value"))
     )
-    return df.select(roles.unit, roles.label, array_to_vector(complete).alias("features"))
+    dense = array_to_vector(complete)
+    if ONES not in df.columns or not df.schema[ONES].metadata["size"]:
+        return df.select(roles.unit, roles.label, dense.alias("features"))
+    # Positions are the words of a counted text whose vocabulary is the numbers: a sparse vector without a row of Python.
+    names = [str(i) for i in range(df.schema[ONES].metadata["size"])]
+    counted = CountVectorizerModel.from_vocabulary(names, inputCol=ONES, outputCol="_ones")
+    parts = counted.transform(df.select(roles.unit, roles.label, dense.alias("_dense"), ONES))
+    both = VectorAssembler(inputCols=["_dense", "_ones"], outputCol="features").transform(parts)
+    return both.select(roles.unit, roles.label, "features")
 
 
 def _scored(df: DataFrame, pred, prob, roles: Roles) -> DataFrame:

@@ -164,3 +164,57 @@ def test_running_totals_of_a_hot_group(spark):
         state[g] = (s + v, n + 1)
         want.add((g, o, v, *state[g]))
     assert as_set(got) == want
+
+
+def _district_tables(spark):
+    static = spark.createDataFrame(
+        [(i, 2000 + i % 4, "FM"[i % 2], None if i % 5 == 0 else f"town{i % 7}", float(i % 3)) for i in range(1, 81)],
+        "student_id bigint, cohort int, gender string, town string, age double")
+    yearly = spark.createDataFrame(
+        [(i, 2000 + i % 4, 2009, 9, None if i % 6 == 0 else i % 10, f"track{i % 3}") for i in range(3, 81)],
+        "student_id bigint, cohort int, academic_year int, grade_level int, absences int, track string")
+    labels = spark.createDataFrame([(i, int(i % 7 in (1, 2, 4))) for i in range(1, 81)], "student_id bigint, outcome_label int")
+    return static, yearly, labels
+
+
+def test_sparse_dataset_equals_the_dense_one(spark, tmp_path):
+    from cohortline.plans import dataset as D
+    from cohortline.plans import models as M
+    from cohortline.plans import sweep as W
+
+    tables = _district_tables(spark)
+    dense = D.build_dataset(*tables, [9])
+    path = str(tmp_path / "sparse")
+    D.build_dataset(*tables, [9], sparse=True).write.parquet(path)
+    sparse = spark.read.parquet(path)  # the blocks go to Parquet and back
+    blocks = R.blocks_of(sparse)
+    assert {c: hi - lo for c, (lo, hi) in blocks.items()} == {"gender": 2, "town": 7, "grade_level_9_track": 3}
+    assert not any(c in sparse.columns for c in blocks)
+    assert R.feature_columns(sparse) == ["age", "grade_level_9_absences", *blocks]
+    for chosen in (list(blocks), ["age", "grade_level_9_absences", "town"], R.feature_columns(sparse)):
+        wide = [c for c in R.feature_columns(dense) if any(c == x or c.startswith(x + "_") for x in chosen)]
+        got = {}
+        for name, data, columns in (("dense", dense, wide), ("sparse", sparse, chosen)):
+            train, test = W.prepared(data, columns, 2001, 2002, {"subsample": 2.0, "smote": None, "imputation": "mean"})
+            assert train.first()["features"].size == len(wide)
+            for learner, params in (("naive_bayes", {"alpha": 0.1}), ("logistic_regression", {"penalty": "l2", "C": 1.0})):
+                got[name, learner] = {r[0]: r[1] for r in M.fit_score(train, test, learner, params).select("student_id", "y_prob").collect()}
+        for learner in ("naive_bayes", "logistic_regression"):
+            assert got["sparse", learner] == pytest.approx(got["dense", learner], abs=1e-5) and len(got["sparse", learner]) == 40
+    with pytest.raises(ValueError, match="dense"):
+        W.prepared(sparse, ["age", "town"], 2001, 2002, {"subsample": None, "smote": 100, "imputation": "mean"})
+
+
+def test_sweep_takes_a_sparse_dataset(spark, tmp_path):
+    from cohortline.plans import dataset as D
+    from cohortline.plans import sweep as W
+    from cohortline.sources.shared import durable
+
+    grid = {"dummy": {"strategy": ["uniform"], "random_state": [0]}, "naive_bayes": {"alpha": [0.1, 1.0]}}
+    scores = []
+    for sparse in (False, True):
+        data = durable(D.build_dataset(*_district_tables(spark), [9], sparse=sparse))
+        splits = V.temporal_splits(data, test_cohorts=[2003])
+        summary, _ = W.sweep(data, R.feature_columns(data), str(tmp_path / f"sweep{sparse}"), splits, grid)
+        scores.append({(r["train"], r["grade"], r["params"]): (round(r["acc"], 9), round(r["roc_auc"], 9)) for r in summary.collect()})
+    assert scores[0] == scores[1] and scores[0]
