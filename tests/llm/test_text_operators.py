@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -176,6 +177,83 @@ def test_licences_by_notice_and_by_directory(spark):
         (9, "MIT", "inherited", "a")], key=str)
 
 
+MIT_TEXT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+            "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+            "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished")
+GPL_TEXT = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+            "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+BSD_TEXT = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+            "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+            "following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+            "the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n")
+BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"
+BSD_THIRD = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+             "from this software without specific prior written permission.\n\n")
+
+
+@pytest.mark.parametrize("width", [30, 70, 100_000])
+def test_licence_headers_in_wrapped_comments(spark, width):
+    """Line ends, comment marks and prose around a notice don't matter."""
+    code = "".join(f"value_{i} = call({i})\n" for i in range(80))
+    head = lambda text, mark: "".join(f"{mark} {x}\n" for t in text.split("\n") for x in textwrap.wrap(t, width) or [""]) + code
+    texts = [(head("Copyright 2020 A. Person\n\n" + MIT_TEXT, "#"), "MIT"), (head("tool.c\n\n" + GPL_TEXT, " *"), "GPL-3.0"),
+             (head(BSD_TEXT + BSD_END, "//"), "BSD-2-Clause"), (head(BSD_TEXT + BSD_THIRD + BSD_END, "--"), "BSD-3-Clause"),
+             (head("lots of words about it that never end and this one is Released under the MIT License. so go on with it", "%"), "MIT"),
+             (head("we hold a license to sell software in the terms of any later agreement, and a copy of this is free of charge", "#"), None)]
+    df = spark.createDataFrame([(i, None, t) for i, (t, _) in enumerate(texts)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["licence"], r["origin"]) for r in scan_licences(df).collect()}
+    assert got == {i: (licence, "header") for i, (_, licence) in enumerate(texts) if licence}
+
+
+def test_licence_similarity_equals_brute_force(spark):
+    known = [(r["licence"], re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", r["notice"].lower())) for r in templates(spark).collect()]
+    draw = random.Random(8)
+    texts = ["", "no cue", " license ", "licensed under", "x" * 100_000 + " copyright"]
+    for _ in range(120):
+        words = list(draw.choice(known)[1])
+        for _ in range(draw.randint(0, 6)):
+            words[draw.randrange(len(words))] = draw.choice(["edit", "the", "license", "of"])
+        text = [draw.choice("a b c the license of under".split()) for _ in range(draw.randint(0, 30))]
+        text[(at := draw.randint(0, len(text))):at] = words
+        texts.append("".join(w + draw.choice([" ", " ", " ", "\n# ", ", "]) for w in text))
+    cues = ("licen", "copyright", "spdx", "hereby granted", "public domain", "creative commons", "rights reserved", "redistribut")
+    notices = {}
+    for i, t in enumerate(texts):
+        if any(c in t.lower() for c in cues):
+            words = re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", t.lower())
+            mine = {x for x in re.split(r"\r?\n|\r", t) if any(c in x.lower() for c in cues)}
+            for _, k in known:
+                for p in range(len(words) - 2):
+                    for o in range(len(k) - 2):
+                        if words[p : p + 3] == k[o : o + 3]:
+                            mine.add(" ".join(words[max(p - o, 0) : max(p - o + len(k), 0)]))
+            notices[i] = mine
+    distinct = set().union(*notices.values())
+    counts = {n: Counter(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", n.lower())) for n in distinct}
+    df = Counter(w for c in [*counts.values(), *[Counter(k) for _, k in known]] for w in c)
+    vector = lambda c: {w: n * (math.log((len(distinct) + len(known) + 1) / (df[w] + 1)) + 1) for w, n in c.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    models = [(licence, vector(Counter(k))) for licence, k in known]
+    best = {}
+    for n, c in counts.items():
+        v = vector(c)
+        found = [(-round(sum(x * m.get(w, 0) for w, x in v.items()) / (norm(v) * norm(m)), 9), licence) for licence, m in models if v]
+        best[n] = min([f for f in found if f[0] <= -0.8], default=None)
+    want = {i: min(best[n] for n in mine if best[n]) for i, mine in notices.items() if any(best[n] for n in mine)}
+    files = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "doc_id long, path string, text string").repartition(3)
+    got = {r["doc_id"]: (-r["similarity"], r["licence"]) for r in scan_licences(files).collect()}
+    assert len(want) > 60 and got.keys() == want.keys()
+    for i, (s, licence) in got.items():
+        assert licence == want[i][1] and s == pytest.approx(want[i][0], abs=2e-9)
+
+
+def test_a_directory_with_most_files_inherits(spark):
+    rows = [(i, "hot/x.py", "code") for i in range(500)] + [(900, "hot/LICENSE", "Released under the MIT License."), (901, "hot/d/COPYING", GPL_TEXT)]
+    rows += [(902, "hot/d/y", None), (903, "cold/z", "code")]
+    got = scan_licences(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    assert len(got) == 503 and {r["doc_id"] for r in got if r["licence"] == "GPL-3.0"} == {901, 902}
+
+
 def test_licence_lines_of_the_documents(spark):
     """Every document with one of the known lines is found, with the licence that the line names."""
     rows = {r["doc_id"]: r for r in queries()["op5_licences"](spark, SF).collect()}
