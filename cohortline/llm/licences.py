@@ -109,16 +109,18 @@ def templates(spark: SparkSession) -> DataFrame:
 def match_notices(notices: DataFrame, known: DataFrame, least: float) -> DataFrame:
     """notice, licence, similarity: the template of largest cosine for each distinct notice that reaches `least`; ties by licence.
 
-    Document frequencies are over the distinct notices and the templates."""
-    distinct = notices.select("notice").distinct()
-    keyed = distinct.withColumn("key", F.xxhash64("notice"))
-    terms = staged(_terms(keyed, "key"), "notice-terms")
+    Document frequencies are over the templates and the distinct notices that are `counted`: windows, which are like templates, would make
+    the terms of licences seem common. A term may be in most notices, so its notices go to SALTS parts."""
+    keyed = notices.groupBy("notice").agg(F.max("counted").alias("counted")).withColumn("key", F.xxhash64("notice"))
+    terms = staged(_terms(keyed, "key", "counted"), "notice-terms")
     own = _terms(known, "template", "licence")
-    total = keyed.count() + known.count()
-    df = terms.select("term").union(own.select("term")).groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(F.lit(float(total + 1)) / (F.col("df") + 1)) + 1
-    weighed = lambda t: t.join(df, "term").withColumn("w", F.col("tf") * idf)
-    a, b = staged(weighed(terms), "weights"), weighed(own)
+    total = keyed.filter("counted").count() + known.count()
+    df = terms.select("term", F.col("counted").cast("long").alias("n")).union(own.select("term", F.lit(1).cast("long"))).groupBy("term").agg(
+        (F.log(F.lit(float(total + 1)) / (F.sum("n") + 1)) + 1).alias("idf"))
+    parts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt")
+    weighed = terms.withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")).join(df.select("term", "idf", parts), ["term", "salt"])
+    a = staged(weighed.select("key", "term", (F.col("tf") * F.col("idf")).alias("w")), "weights")
+    b = own.join(df, "term").withColumn("w", F.col("tf") * F.col("idf"))
     b = b.join(b.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_b")), "template")
     norm_a = a.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_a"))
     fixed = b.select("term", "template", "licence", F.col("w").alias("w_b"), "norm_b")
@@ -149,9 +151,9 @@ def scan_licences(files: DataFrame, least: float = 0.8, share: float = 0.9, id_c
     lines = F.array_distinct(F.concat(F.filter(F.split("t", r"\r?\n|\r"), _cue), F.when(F.col("named"), F.array("t")).otherwise(
         F.array().cast("array<string>"))))
     of_lines = read.select("row", F.char_length("t").alias("chars"), F.explode(lines).alias("notice")).select(
-        "row", "notice", (F.char_length("notice") / F.col("chars")).alias("line"), F.lit(0.0).alias("window"))
+        "row", "notice", F.lit(True).alias("counted"), (F.char_length("notice") / F.greatest("chars", F.lit(1))).alias("line"), F.lit(0.0).alias("window"))
     of_windows = windows(read.select("row", _words(F.col("t")).alias("words")), known).select(
-        "row", "notice", F.lit(0.0).alias("line"), F.col("part").alias("window"))
+        "row", "notice", F.lit(False).alias("counted"), F.lit(0.0).alias("line"), F.col("part").alias("window"))
     notices = staged(of_lines.union(of_windows), "notices")
     matched = staged(match_notices(notices, known, least), "matched")
     own = notices.join(matched, "notice").groupBy("row").agg(

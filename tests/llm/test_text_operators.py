@@ -217,11 +217,12 @@ def test_licence_similarity_equals_brute_force(spark):
         text[(at := draw.randint(0, len(text))):at] = words
         texts.append("".join(w + draw.choice([" ", " ", " ", "\n# ", ", "]) for w in text))
     cues = ("licen", "copyright", "spdx", "hereby granted", "public domain", "creative commons", "rights reserved", "redistribut")
-    notices = {}
+    notices, lines = {}, set()
     for i, t in enumerate(texts):
         if any(c in t.lower() for c in cues):
             words = re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", t.lower())
             mine = {x for x in re.split(r"\r?\n|\r", t) if any(c in x.lower() for c in cues)}
+            lines |= mine
             for _, k in known:
                 for p in range(len(words) - 2):
                     for o in range(len(k) - 2):
@@ -230,8 +231,8 @@ def test_licence_similarity_equals_brute_force(spark):
             notices[i] = mine
     distinct = set().union(*notices.values())
     counts = {n: Counter(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", n.lower())) for n in distinct}
-    df = Counter(w for c in [*counts.values(), *[Counter(k) for _, k in known]] for w in c)
-    vector = lambda c: {w: n * (math.log((len(distinct) + len(known) + 1) / (df[w] + 1)) + 1) for w, n in c.items()}
+    df = Counter(w for c in [*[counts[n] for n in lines], *[Counter(k) for _, k in known]] for w in c)
+    vector = lambda c: {w: n * (math.log((len(lines) + len(known) + 1) / (df[w] + 1)) + 1) for w, n in c.items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
     models = [(licence, vector(Counter(k))) for licence, k in known]
     best = {}
@@ -249,7 +250,7 @@ def test_licence_similarity_equals_brute_force(spark):
 
 def test_a_directory_with_most_files_inherits(spark):
     rows = [(i, "hot/x.py", "code") for i in range(500)] + [(900, "hot/LICENSE", "Released under the MIT License."), (901, "hot/d/COPYING", GPL_TEXT)]
-    rows += [(902, "hot/d/y", None), (903, "cold/z", "code")]
+    rows += [(902, "hot/d/y", None), (903, "cold/z", "code"), (904, "cold/LICENSE", ""), (905, "cold/COPYING", None)]
     got = scan_licences(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
     assert len(got) == 503 and {r["doc_id"] for r in got if r["licence"] == "GPL-3.0"} == {901, 902}
 
