@@ -1,27 +1,35 @@
-"""Packing by lexical retrieval: a sharded BM25 index gives each seed document its unused neighbours.
-
-Documents are spread by ranges of a MinHash signature of their terms, so that a shard holds documents
-with terms in common; the doc id splits signatures that very many documents share. A shard is an inverted index in one task with a
-bounded number of ids, with document frequencies and the average length of the whole corpus. A seed fills its window with its own
-ids, then with its best neighbours that are unused. The last one is cut where the window ends, and what is left of it
-is the next seed. What a shard leaves goes on to the next; only the end of a task's ids is
-shorter than a window, and is cut into powers of two, which need no padding.
+"""Packing by lexical retrieval: a sharded BM25 index over all documents gives each seed document its unused neighbours.
+
+Seeds are the rows whose id is divisible by `every`. Each shard is an inverted index over its documents, with
+document frequencies and the average length of the whole corpus; every seed asks every shard with all its terms. Postings of terms that many documents have
+are rows of a dense matrix, so that a block of seeds is scored by one product; the others are added list by list. A document is
+a neighbour of several seeds but used once: by the seed for which its score, over the root of the seed's number of terms, is largest. That needs only the
+document's own shard, which has seen all seeds, so that no lists of neighbours are shuffled. A seed fills its window with its own ids, then with its
+neighbours, the best first; what doesn't fit opens the next window. Only the end of a task's ids is shorter than a window, and is cut
+into powers of two, which need no padding.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import partitions, ranges, staged, whole_text
+from cohortline.llm.common import partitions, staged, whole_text
 from cohortline.llm.token_files import ids_crc32
 from cohortline.llm.tokens import encoded, encoder
+from cohortline.sources.shared import new_path
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 K1, B = 1.2, 0.75
+#: Terms of more than this share of the documents have dense postings. It only saves time.
+DENSE = 0.1
+#: Seeds that are scored together.
+ASKED = 128
 
 
 def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -31,35 +39,84 @@ def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[first].astype(np.int64), np.diff(np.r_[first, len(ordered)])
 
 
-class Index:
-    """BM25 inverted index of a shard; `neighbours(doc)` are unused documents that share a term, the best first."""
+class Corpus:
+    """What all shards know: the inverse document frequencies, the mean length, and which terms have dense postings."""
+
+    def __init__(self, df: np.ndarray, n: int, total: int, kind: str) -> None:
+        self.idf = np.log(1 + (n - df + 0.5) / (df + 0.5)).astype(np.float32)
+        self.mean_length, self.kind = max(1.0, total / max(1, n)), kind
+        self.dense = np.flatnonzero(df > DENSE * n)
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """BM25 weight of each posting; lengths are of the posting's document."""
+        norm = (K1 * (1 - B + B / self.mean_length * lengths)).astype(np.float32)
+        return self.idf[terms] * tf * np.float32(K1 + 1) / (tf + norm)
+
+
+class Shard:
+    """BM25 inverted index of some documents; `ask` takes seeds in blocks, `rows` tells each document's best seed."""
+
+    def __init__(self, corpus: Corpus) -> None:
+        self.corpus, self.parts, self.ready = corpus, [], False
 
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, query_terms: int) -> None:
-        counted = [terms_of(d) for d in docs]
-        sizes = np.array([len(t) for t, _ in counted], np.int64)
-        terms = np.concatenate([t for t, _ in counted]) if counted else np.empty(0, np.int64)
-        tf = np.concatenate([c for _, c in counted]).astype(np.float64) if counted else np.empty(0)
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        length = np.array([len(d) for d in docs], float)[owner]
-        weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
-        order = np.argsort(terms.astype(np.uint16 if len(idf) <= 65_536 else np.int64), kind="stable")
+    def add(self, part: pa.RecordBatch) -> None:
+        self.parts.append([part["row"].to_numpy(), part["n"].to_numpy(), part["terms"].to_pylist(), part["tf"].to_pylist()])
+
+    def _build(self) -> None:
+        c, self.ready = self.corpus, True
+        self.row = np.concatenate([p[0] for p in self.parts] or [np.empty(0, np.int64)])
+        lengths = np.concatenate([p[1] for p in self.parts] or [np.empty(0, np.int64)])
+        raw = [x for p in self.parts for x in p[2]]
+        terms = np.frombuffer(b"".join(raw), c.kind)
+        tf = np.frombuffer(b"".join(x for p in self.parts for x in p[3]), "<u4").astype(np.float32)
+        sizes = np.array([len(x) for x in raw], np.int64) // terms.itemsize
+        self.parts, n = [], len(self.row)
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        weight = c.weights(terms, tf, np.repeat(lengths, sizes))
+        order = np.argsort(terms, kind="stable")
         self.doc, self.weight = owner[order], weight[order]
-        listed = terms[order]
-        self.first = np.searchsorted(listed, np.arange(len(idf)))
-        self.last = np.searchsorted(listed, np.arange(len(idf)), side="right")
-        starts = np.cumsum(sizes) - sizes
-        self.query = []
-        for a, n in zip(starts, sizes):
-            best = np.argsort(-weight[a : a + n], kind="stable")[:query_terms]
-            self.query.append(terms[a : a + n][best])
-        self.unused = np.ones(len(docs), bool)
-
-    def neighbours(self, doc: int) -> np.ndarray:
-        q = self.query[doc]
-        at = ranges(self.first[q], self.last[q] - self.first[q])
-        scores = np.bincount(self.doc[at], self.weight[at], len(self.unused))
-        near = np.flatnonzero(self.unused & (scores > 0))
-        return near[np.argsort(-scores[near], kind="stable")]
+        self.first = np.r_[0, np.cumsum(np.bincount(terms, minlength=len(c.idf)))]
+        self.slot = np.full(len(c.idf), -1, np.int64)
+        self.slot[c.dense] = np.arange(len(c.dense))
+        self.matrix = np.zeros((len(c.dense), n), np.float32)
+        for i, t in enumerate(c.dense.tolist()):
+            a, b = self.first[t], self.first[t + 1]
+            self.matrix[i, self.doc[a:b]] = self.weight[a:b]
+        self.score, self.seed = np.zeros(n, np.float32), np.full(n, -1, np.int64)
+
+    def scores(self, seeds: list[np.ndarray]) -> np.ndarray:
+        """A row for each seed (its distinct terms), a column for each document."""
+        asked = np.zeros((len(seeds), len(self.matrix)), np.float32)
+        for i, q in enumerate(seeds):
+            at = self.slot[q]
+            asked[i, at[at >= 0]] = 1
+        found = asked @ self.matrix
+        for own, q in zip(found, seeds):
+            rare = q[self.slot[q] < 0]
+            for a, b in zip(self.first[rare].tolist(), self.first[rare + 1].tolist()):
+                own[self.doc[a:b]] += self.weight[a:b]  # a term lists a document once
+        return found
+
+    def ask(self, part: pa.RecordBatch) -> None:
+        if not self.ready:
+            self._build()
+        if not len(self.row):
+            return
+        rows, terms = part["row"].to_numpy(), part["terms"]
+        for at in range(0, len(rows), ASKED):
+            seeds = [np.frombuffer(x.as_buffer(), self.corpus.kind).astype(np.int64) for x in terms.slice(at, ASKED)]
+            found = self.scores(seeds)
+            found /= np.sqrt(np.array([[max(1, len(q))] for q in seeds], np.float32))
+            best = found.argmax(0)
+            score = found[best, np.arange(len(best))]
+            better = score > self.score
+            self.score[better], self.seed[better] = score[better], rows[at : at + ASKED][best[better]]
+
+    def rows(self) -> pa.RecordBatch:
+        if not self.ready:
+            self._build()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.row), pa.array(self.seed, mask=self.seed < 0), pa.array(self.score.astype(float))], ["row", "seed", "score"])
 
 
 class Packer:
@@ -96,83 +153,99 @@ class Packer:
         while self.filled:
             self._close(1 << (self.filled.bit_length() - 1))
 
-    def pack(self, docs: list[tuple], index: Index) -> None:
-        """docs: doc_id, ids. Every id of the shard is laid down; the window may stay open."""
-        at = 0
-        ahead: list[int] = []
-        while True:
-            if not ahead:
-                while at < len(docs) and not index.unused[at]:
-                    at += 1
-                if at == len(docs):
-                    return
-                ahead = [at]
-            doc = ahead.pop(0)
-            if not index.unused[doc]:
-                continue
-            index.unused[doc] = False
-            doc_id, ids = docs[doc]
-            done, asked = 0, not ahead
-            while done < len(ids):
-                started = self.filled == 0
-                done += self.put(doc_id, done, ids[done:], len(ids))
-                asked = asked or started or self.filled == 0
-            if asked:  # this document begins a window: it is the seed
-                ahead = index.neighbours(doc).tolist()
-
-
-def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, shard_ids: int = 1_000_000,
-                   query_terms: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of documents in sequences of at most `window` ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    def lay(self, doc_id: int | None, ids: np.ndarray) -> None:
+        """Every id of a document is laid down; the window may stay open."""
+        done = 0
+        while done < len(ids):
+            done += self.put(doc_id, done, ids[done:], len(ids))
 
-    Each id of each document, with the end id, lies in exactly one piece. A sequence is full or a power of two long. The query of a
-    seed has its `query_terms` terms of largest BM25 weight. A null text counts as empty and has only its end id; repeated rows and rows of one
-    id are packed as often as they come; a null id stays null; a text longer than a shard is a shard. An empty table gives
-    no piece."""
-    spark = docs.sparkSession
+
+def tokenized(docs: DataFrame, path: str, end_id: int, kind: str, id_col: str, text_col: str) -> DataFrame:
+    """row, id, n, ids, terms, tf of each document, in a table bucketed by row, so that its seed is joined without moving the ids.
+
+    row numbers the rows; ids and terms (distinct ids but the last) are little-endian numbers of `kind`, tf of 32 bits."""
 
     def tokenize(batches):
         for b in batches:
             ids = list(encoded(b["t"], path, end_id))
-            keys = np.zeros((len(ids), 2), np.int64)
-            for i, own in enumerate(ids):
-                terms = terms_of(own)[0].astype(np.uint64)
-                if len(terms):
-                    for k, odd in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
-                        mixed = (terms + np.uint64(1)) * np.uint64(odd)
-                        keys[i, k] = int(((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).min())
+            counted = [terms_of(x) for x in ids]
             yield pa.RecordBatch.from_arrays([
-                b["id"], pa.array(keys[:, 0]), pa.array(keys[:, 1]),
-                pa.array([x.astype("<u2" if small else "<u4").tobytes() for x in ids], pa.binary())], ["id", "k0", "k1", "ids"])
+                b["row"], b["id"], pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
+                pa.array([t.astype(kind).tobytes() for t, _ in counted], pa.binary()),
+                pa.array([c.astype("<u4").tobytes() for _, c in counted], pa.binary())], ["row", "id", "n", "ids", "terms", "tf"])
+
+    spark = docs.sparkSession
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("t"))
+    name = f"tokens_{uuid.uuid4().hex}"
+    rows.mapInArrow(tokenize, "row long, id long, n long, ids binary, terms binary, tf binary").write.option("compression", "zstd").option(
+        "path", new_path(spark, "tokens")).bucketBy(partitions(spark), "row").saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry only: the files have a path of their own
+    return found
+
 
-    size = encoder(path).tokenizer.get_vocab_size()
-    small = max(size, end_id + 1) <= 65_536
-    kind, terms = "<u2" if small else "<u4", max(size, end_id + 1)
-    tokens = staged(docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("t")).mapInArrow(
-        tokenize, "id long, k0 long, k1 long, ids binary"), "tokens")
+def best_seeds(tokens: DataFrame, terms: int, kind: str, every: int, shard_postings: int) -> DataFrame:
+    """row, seed (row number of the seed that uses it; null if it shares no term with any), score for each row of `tokenized`."""
 
     def frequencies(batches):
         df, n, total = np.zeros(terms, np.int64), 0, 0
         for b in batches:
-            for raw in b["ids"]:
-                ids = np.frombuffer(raw.as_buffer(), kind)
-                df[terms_of(ids)[0]] += 1
-                n, total = n + 1, total + len(ids)
+            df += np.bincount(np.frombuffer(b"".join(b["terms"].to_pylist()), kind), minlength=terms)
+            n, total = n + len(b["n"]), total + sum(b["n"].to_pylist())
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1, -2]), pa.array(np.r_[df[at], n, total])], ["term", "n"])
 
-    found = dict(map(tuple, tokens.select("ids").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(
+    found = dict(map(tuple, tokens.select("terms", "n").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(
         F.sum("n")).collect()))  # at most one row an entry of the vocabulary
     n, total = found.pop(-1, 0), found.pop(-2, 0)
     df = np.zeros(terms)
     df[np.array(list(found), np.int64)] = list(found.values())
-    idf, mean_length = np.log(1 + (n - df + 0.5) / (df + 0.5)), max(1.0, total / max(1, n))
+    corpus, shards = Corpus(df, n, total, kind), max(1, -(-int(df.sum()) // shard_postings))
 
-    def pack(batches):
-        packer, shard, held = Packer(window, TaskContext.get().partitionId() << 32), [], 0
+    def search(batches):
+        shard = index = None
+        for b in batches:
+            key = b["shard"].to_numpy() * 2 + b["asks"].to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for a, z in zip(cuts, cuts[1:]):
+                if a == z:
+                    continue
+                if key[a] // 2 != shard:
+                    if index is not None:
+                        yield index.rows()
+                    shard, index = key[a] // 2, Shard(corpus)
+                (index.ask if key[a] % 2 else index.add)(b.slice(a, z - a))
+        if index is not None:
+            yield index.rows()
+
+    indexed = tokens.select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), "row", "n", "terms", "tf")
+    seeds = tokens.filter(F.col("id") % every == 0).select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("asks"), "row", "n", "terms", F.lit(b"").alias("tf"))
+    spread = indexed.union(seeds).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "asks", "row")
+    return spread.mapInArrow(search, "row long, seed long, score double")
 
-        def flush():
-            packer.pack(shard, Index([ids for _, ids in shard], idf, mean_length, query_terms))
+
+def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, every: int = 20, shard_postings: int = 4_000_000,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Pieces of documents in sequences of at most `window` ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    Each id of each document, with the end id, lies in exactly one piece. A sequence is full or a power of two long. Seeds are the rows
+    whose id `every` divides; documents that share no term with a seed come first, in the order of the rows. Equally good seeds: the first row. The
+    search scores each document against each seed, so its cost grows with rows x rows / `every`; a shard has about
+    `shard_postings` postings and meets the seeds in blocks. A null text counts as empty and has only its end id; repeated rows
+    and rows of one id are packed as often as they come; a null id stays null and is no seed. Further columns are not read. An empty table gives no piece."""
+    spark = docs.sparkSession
+    terms = max(encoder(path).tokenizer.get_vocab_size(), end_id + 1)
+    kind = "<u2" if terms <= 65_536 else "<u4"
+    tokens = tokenized(docs, path, end_id, kind, id_col, text_col)
+    used = staged(best_seeds(tokens, terms, kind, every, shard_postings), "seeds")
+    own = F.col("id") % every == 0
+    ordered = tokens.select("row", "id", "ids").join(used, "row").select(
+        "id", "ids", F.when(own, F.col("row")).otherwise(F.col("seed")).alias("seed"),
+        F.when(own, F.lit(float("-inf"))).otherwise(-F.col("score")).alias("place"), "row")
+
+    def pack(batches):
+        packer = Packer(window, TaskContext.get().partitionId() << 32)
 
         def rows():
             columns = list(zip(*packer.rows)) or [()] * 7
@@ -182,17 +255,10 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = 40
         names = [x.split()[0] for x in PIECES.split(", ")]
         for b in batches:
             for doc_id, raw in zip(b["id"].to_pylist(), b["ids"]):
-                ids = np.frombuffer(raw.as_py(), kind)
-                shard.append((doc_id, ids))
-                held += len(ids)
-                if held >= shard_ids:
-                    flush()
-                    shard, held = [], 0
-                    yield rows()
-        if shard:
-            flush()
+                packer.lay(doc_id, np.frombuffer(raw.as_py(), kind))
+            yield rows()
         packer.end()
         yield rows()
 
-    spread = tokens.repartitionByRange(partitions(spark), "k0", "k1", "id").sortWithinPartitions("k0", "k1", "id")
+    spread = ordered.repartitionByRange(partitions(spark), "seed", "place", "row").sortWithinPartitions("seed", "place", "row")
     return spread.select("id", "ids").mapInArrow(pack, PIECES)

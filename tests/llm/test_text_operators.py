@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortline.llm import html_tree, secrets
+from cohortline.llm import html_tree, packing, secrets
 from cohortline.llm.common import table
 from cohortline.llm.decontaminate import contaminated, drop_contaminated
 from cohortline.llm.licences import scan_licences, templates
@@ -72,7 +72,7 @@ def test_token_files_round_trip(spark, docs, tmp_path):
 
 
 def test_packing_loses_no_id(spark, docs):
-    rows = pack_documents(docs, vocabulary(), window=256, shard_ids=3000).collect()
+    rows = pack_documents(docs, vocabulary(), window=256, every=6, shard_postings=20).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
         pieces[r["doc_id"]].append(r)
@@ -96,9 +96,9 @@ def test_packing_loses_no_id(spark, docs):
 def test_packing_when_the_last_document_fills_a_shard(spark):
     rows = [(i, "word " * 99) for i in range(8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    found = pack_documents(docs, vocabulary(), window=64, shard_ids=60).collect()
+    found = pack_documents(docs, vocabulary(), window=64, every=3, shard_postings=2).collect()
     assert sum(r["length"] for r in found) == 8 * len(ids_of(rows[0][1], 2))
-    assert pack_documents(docs.limit(0), vocabulary(), window=64, shard_ids=60).collect() == []
+    assert pack_documents(docs.limit(0), vocabulary(), window=64, every=3, shard_postings=2).collect() == []
 
 
 def test_packing_prefers_neighbours(spark):
@@ -114,6 +114,31 @@ def test_packing_prefers_neighbours(spark):
     assert mixed <= 6
 
 
+@pytest.mark.parametrize("shard_postings", [100, 100_000])
+def test_each_document_goes_to_its_best_seed(spark, shard_postings):
+    """All seeds, all terms, all documents: brute force over the BM25 scores of every pair, however many shards there are."""
+    draw = random.Random(12)
+    words = [f"{a}{b}" for a in "bcdfgkl" for b in ("an", "ing", "ore", "ust", "elt")]
+    rows = [(i, " ".join(draw.choices(words, [1 / (k + 1) for k in range(len(words))], k=draw.randint(0, 80)))) for i in range(150)]
+    rows += [(None, rows[3][1]), (40, rows[3][1]), (200, ""), (201, None), (202, "zzz qqq " * 20000)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, seed int").repartition(3)
+    tokens = packing.tokenized(docs, vocabulary(), 2, "<u2", "doc_id", "text")
+    lists = {r["row"]: (r["id"], np.frombuffer(r["ids"], "<u2")) for r in tokens.collect()}
+    counts = {i: Counter(ids[:-1].tolist()) for i, (_, ids) in lists.items()}
+    df = Counter(t for c in counts.values() for t in c)
+    mean, n = sum(len(ids) for _, ids in lists.values()) / len(lists), len(lists)
+    weight = lambda i, t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * counts[i][t] * 2.2 / (
+        counts[i][t] + 1.2 * (0.25 + 0.75 * len(lists[i][1]) / mean))
+    seeds = [i for i, (doc_id, _) in lists.items() if doc_id is not None and doc_id % 20 == 0]
+    found = packing.best_seeds(tokens, 50_000, "<u2", 20, shard_postings).collect()
+    assert sorted(r["row"] for r in found) == sorted(lists) and len(seeds) > 8
+    for r in found:
+        scores = {q: sum(weight(r["row"], t) for t in counts[q] if t in counts[r["row"]]) / math.sqrt(max(1, len(counts[q]))) for q in seeds}
+        best = max(scores.values())
+        assert r["score"] == pytest.approx(best, rel=1e-4, abs=1e-6)
+        assert r["seed"] is None if best == 0 else scores[r["seed"]] == pytest.approx(best, rel=1e-4)
+
+
 def test_empty_tables_give_empty_results(spark, tmp_path):
     none = spark.createDataFrame([], "doc_id long, text string, path string")
     items = spark.createDataFrame([], "item_id long, text string")
