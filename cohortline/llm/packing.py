@@ -36,7 +36,7 @@ def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and how often each occurs; the end id is left out."""
     ordered = np.sort(ids[:-1], kind="stable")
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
-    return ordered[first].astype(np.int64), np.diff(np.r_[first, len(ordered)])
+    return ordered[first], np.diff(np.r_[first, len(ordered)])
 
 
 class Corpus:
@@ -167,11 +167,11 @@ def tokenized(docs: DataFrame, path: str, end_id: int, kind: str, id_col: str, t
 
     def tokenize(batches):
         for b in batches:
-            ids = list(encoded(b["t"], path, end_id))
+            ids = [x.astype(kind) for x in encoded(b["t"], path, end_id)]  # 16 bits are sorted faster
             counted = [terms_of(x) for x in ids]
             yield pa.RecordBatch.from_arrays([
-                b["row"], b["id"], pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
-                pa.array([t.astype(kind).tobytes() for t, _ in counted], pa.binary()),
+                b["row"], b["id"], pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary()),
+                pa.array([t.tobytes() for t, _ in counted], pa.binary()),
                 pa.array([c.astype("<u4").tobytes() for _, c in counted], pa.binary())], ["row", "id", "n", "ids", "terms", "tf"])
 
     spark = docs.sparkSession
@@ -195,7 +195,8 @@ def best_seeds(tokens: DataFrame, terms: int, kind: str, every: int, shard_posti
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1, -2]), pa.array(np.r_[df[at], n, total])], ["term", "n"])
 
-    found = dict(map(tuple, tokens.select("terms", "n").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(
+    few = lambda df: df.coalesce(partitions(tokens.sparkSession))  # noqa: E731 - a file for each task and bucket: no task for each
+    found = dict(map(tuple, few(tokens.select("terms", "n")).mapInArrow(frequencies, "term long, n long").groupBy("term").agg(
         F.sum("n")).collect()))  # at most one row an entry of the vocabulary
     n, total = found.pop(-1, 0), found.pop(-2, 0)
     df = np.zeros(terms)
@@ -218,8 +219,8 @@ def best_seeds(tokens: DataFrame, terms: int, kind: str, every: int, shard_posti
         if index is not None:
             yield index.rows()
 
-    indexed = tokens.select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), "row", "n", "terms", "tf")
-    seeds = tokens.filter(F.col("id") % every == 0).select(
+    indexed = few(tokens).select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), "row", "n", "terms", "tf")
+    seeds = few(tokens).filter(F.col("id") % every == 0).select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("asks"), "row", "n", "terms", F.lit(b"").alias("tf"))
     spread = indexed.union(seeds).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "asks", "row")
     return spread.mapInArrow(search, "row long, seed long, score double")
