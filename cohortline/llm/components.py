@@ -52,7 +52,8 @@ def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node of `edges` (a, b: longs, a <> b).
 
     Tasks contract the edges that they have, then a large-star and a small-star step join what lies in several tasks, until nothing changes: a path
-    of n nodes takes about log n rounds, a graph that fits few tasks one or two. Each round is written to the shared folder."""
+    of n nodes takes about log n rounds, a graph that fits few tasks one or two. Each round is written to the shared folder.
+    Repeated edges count once; rows with a null, and edges from a node to itself, must not occur; without edges there are no rows."""
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = staged(_contracted(ordered), "edges")
     mark = None

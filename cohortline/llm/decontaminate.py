@@ -15,7 +15,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import staged, whole_text
+from cohortline.llm.common import free_name, staged, whole_text
 
 #: Two counters of 32 bits a long: bits r and r + 32 of a hash.
 LANES = 0x0000000100000001
@@ -141,7 +141,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
         F.countDistinct("start").alias("n_windows"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs` whose id isn't found contaminated."""
-    found = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("_leaked")), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs` whose text isn't found contaminated, with their columns.
+
+    Rows are told apart by 128 bits of their text, not by their id: of rows that share an id, or have none, only those go that hold a
+    passage, and equal texts go together. Null and empty texts stay; an empty table stays empty; an empty benchmark drops nothing. Columns may have any name."""
+    key = lambda: F.struct(F.xxhash64(whole_text(text_col)).alias("a"), F.xxhash64(F.lit(1), whole_text(text_col)).alias("b"))
+    named = docs.select(key().alias("doc_id"), F.col(text_col).alias("text"))
+    leaked = free_name(docs, "leaked")
+    found = contaminated(named, benchmark, **options).select(F.col("doc_id").alias(leaked)).distinct()
+    return docs.join(found, key() == F.col(leaked), "left_anti")

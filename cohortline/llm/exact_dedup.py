@@ -144,7 +144,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 8) -> DataFrame:
-    """The rows of `docs` that exact_dedup keeps, with their columns."""
+    """The rows of `docs` that exact_dedup keeps, with their columns, which may have any name.
+
+    Null and empty texts are equal, so one of them stays; of rows with one id and one text one stays; a null id is an id like any other. An
+    empty table stays empty."""
     verdict = staged(exact_dedup(docs, id_col, text_col, fan_in).filter("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("chars").alias("_chars"),
         F.col("repeats").alias("_repeats")), "kept")

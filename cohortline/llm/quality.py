@@ -140,5 +140,8 @@ def classify(docs: DataFrame, model: QualityModel, threshold: float = 0.7, id_co
 
 
 def drop_bad(docs: DataFrame, model: QualityModel, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose score reaches the threshold, with their columns."""
+    """The rows of `docs` whose score reaches the threshold, with their columns.
+
+    Each row counts for itself, whatever its id: repeated rows stay or go together. Null counts as empty, and an empty text has a score
+    like any other. Long texts are scored whole; an empty table stays empty."""
     return docs.filter(quality_score(model, F.col(text_col)) >= threshold)

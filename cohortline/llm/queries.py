@@ -24,6 +24,7 @@ from cohortline.sources.shared import new_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the row that stays of its group of equal texts. Odd rows: see `exact_dedup`."""
     found = exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -34,10 +35,12 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with what repeats in it. Odd rows: see `remove_repeats`."""
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 tokens. Odd rows: see `pack_documents`."""
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
@@ -55,35 +58,42 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as they come back from token files. Odd rows: see `write_tokens` and `read_tokens`."""
     folder = new_path(spark, "token-files")
     write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary())
     return read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its secrets. Odd rows: see `find_secrets`."""
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its score, by a model of the labels that are not held out. Odd rows: see `train_quality` and `classify`."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train_quality(docs, labels.filter(~held_out("doc_id")))
     return classify(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its fingerprint and component. Odd rows: see `near_duplicates`."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page with its main text. Odd rows: see `extract`."""
     return extract(table(spark, sf_dir, "pages"))
 
 
 def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the links of its tokens. Odd rows: see `align_tokens`."""
     return align_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
 def op12_matched_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens. Odd rows: see `pack_matched`."""
     pieces = pack_matched(table(spark, sf_dir, "documents"), vocabulary())
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 

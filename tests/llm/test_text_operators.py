@@ -187,6 +187,10 @@ def test_contaminated_matches_brute_force(spark):
     assert got == want
     left = drop_contaminated(docs, bench)
     assert left.columns == docs.columns and left.count() == len(rows) - sum(r[0] in {i for i, _ in want} for r in rows)
+    held, other = items[0][1], "clean words of another text " * 3
+    mixed = spark.createDataFrame([(None, held, 1), (None, other, 2), (7, held, 3), (7, other, 4), (None, None, 5), (7, "", 6), (8, other, 7)],
+                                  "doc_id long, text string, leaked int")
+    assert sorted(r["leaked"] for r in drop_contaminated(mixed, bench).collect()) == [2, 4, 5, 6, 7]
 
 
 def test_licences_by_notice_and_by_directory(spark):
@@ -411,6 +415,33 @@ def test_pipeline_stages(spark):
         r[0] for r in docs.select("doc_tokens", "doc_id").distinct().collect())
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows and ids, clashing columns; and no rows at all."""
+    import corpus_pipeline
+
+    base = table(spark, SF, "documents")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields) + ", row int, leaked string, node long, seed int"
+    good = [r["text"] for r in base.join(table(spark, SF, "labels").filter("quality = 1"), "doc_id").orderBy("doc_id").limit(40).collect()]
+    item = table(spark, SF, "benchmark").filter(F.length("text") > 60).first()["text"]
+    texts = [*good, *good[:5], None, "", " \n", good[7] * 200, good[3] + " " + item + " " + good[4]]
+    row = lambda i, t: tuple(
+        {"doc_id": i, "text": t}.get(f.name) for f in base.schema.fields) + (1, None, None, 2)
+    rows = [row(i, t) for i, t in enumerate(texts)] + [row(None, good[0]), row(None, None), row(2, good[2]), row(2, good[9])]
+    for n, some in enumerate((rows, [])):
+        docs = spark.createDataFrame(some, kinds).repartition(2)
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, kept, SF)
+            if name == "packing":
+                assert out.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] == sum(
+                    len(ids_of(r["text"], 2)) for r in kept.collect())
+            else:
+                assert out.columns == docs.columns and out.count() <= kept.count()
+                kept = spark.createDataFrame(out.collect(), docs.schema)
+        assert (20 <= kept.count() < len(rows) if some else not kept.count())
+        assert not some or not [r for r in kept.collect() if item in (r["text"] or "")]
+
+
 def noise_corpus(spark, n, length):
     """Texts that say nothing about the label, of which 86 in 100 are 1."""
     draw = random.Random(n)
