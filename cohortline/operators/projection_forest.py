@@ -92,26 +92,29 @@ def approximate_neighbours(points: DataFrame, k: int, roles: Roles = DEFAULT, fe
                     yield pd.DataFrame({"tree": number, "leaf": tree.leaves_of(rows), "vid": b["vid"]})
 
     placed = durable(vectors.select("vid", "v").mapInPandas(descend, f"tree int, leaf long, vid {id_type}"))
-    chunks = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * leaf_rows)).cast("int").alias("chunks"))
-    own = placed.join(chunks, ["tree", "leaf"]).withColumn("own", F.pmod(F.xxhash64("vid"), F.col("chunks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    visits = own.select("tree", "leaf", "vid", F.col("own").alias("i"), others.alias("j"), F.lit(True).alias("asks"))
-    hosts = own.select("tree", "leaf", "vid", others.alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"))
-    rows = visits.unionByName(hosts).join(vectors.select("vid", "v"), "vid")
+    chunks = placed.groupBy("tree", "leaf").agg(
+        F.count(F.lit(1)).alias("rows"), F.ceil(F.count(F.lit(1)) / (2 * leaf_rows)).cast("int").alias("chunks"))
+    own = placed.join(chunks.drop("rows"), ["tree", "leaf"]).withColumn("own", F.pmod(F.xxhash64("vid"), F.col("chunks")).cast("int"))
+    # A row asks every chunk of its leaf, and is asked by every chunk; in its own chunk it does both as one row.
+    numbers, mine = F.sequence(F.lit(0), F.col("chunks") - 1), F.col("own")
+    where = F.flatten(F.transform(numbers, lambda c: F.when(c == mine, F.array(F.struct(mine.alias("i"), c.alias("j")))).otherwise(
+        F.array(F.struct(mine.alias("i"), c.alias("j")), F.struct(c.alias("i"), mine.alias("j"))))))
+    dealt = own.select("tree", "leaf", "vid", "own", F.explode(where).alias("p")).select(
+        "tree", "leaf", "vid", "p.i", "p.j", (F.col("p.i") == mine).alias("asks"), (F.col("p.j") == mine).alias("asked"))
+    width = vectors.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
+    crossings = chunks.agg(F.coalesce(F.sum(F.col("rows") * (2 * F.col("chunks") - 1)), F.lit(0))).first()[0]
+    key = ["tree", "leaf", "i", "j"]
+    rows = dealt.join(vectors.select("vid", "v"), "vid").repartition(exact.tasks_for(points.sparkSession, crossings, width), *key)
 
     def best(met: pd.DataFrame) -> pd.DataFrame:
-        asks = met["asks"].to_numpy()
-        left, right = met[asks], met[~asks]
-        ids, vids = right["vid"].to_numpy(), left["vid"].to_numpy()
-        if not len(ids) or not len(vids):
+        asks, asked = met["asks"].to_numpy(), met["asked"].to_numpy()
+        if not asks.any() or not asked.any():
             return pd.DataFrame({"vid": [], "nid": [], "d2": []})
-        d2 = exact._squared(exact._matrix(left["v"]), exact._matrix(right["v"]))
-        d2[vids[:, None] == ids[None, :]] = np.inf
-        who, whom = exact._closest(ids, d2, k)
-        found = pd.DataFrame({"vid": vids[who], "nid": ids[whom], "d2": d2[who, whom]})
-        return found[np.isfinite(found["d2"])]
+        m, ids = exact._matrix(met["v"]), met["vid"].to_numpy()
+        who, whom, d2 = exact._closest(m[asks], ids[asks], m[asked], ids[asked], k)
+        return pd.DataFrame({"vid": ids[asks][who], "nid": ids[asked][whom], "d2": d2})
 
-    met = rows.groupBy("tree", "leaf", "i", "j").applyInPandas(best, f"vid {id_type}, nid {id_type}, d2 double")
+    met = rows.groupBy(*key).applyInPandas(best, f"vid {id_type}, nid {id_type}, d2 double")
     found = met.groupBy("vid", "nid").agg(F.min("d2").alias("d2"))  # at most k a tree and chunk
     return exact.with_copies(points, vectors, found, k, unit, features)
 
