@@ -1,4 +1,8 @@
-"""The near-copy stage of the pipeline: prefixes of five-word shingle sets find candidates, whole sets decide.
+"""The near-copy stage of the pipeline: SimHash fingerprints and prefixes of five-word shingle sets find candidates, whole sets decide.
+
+First the operator of `simhash` links documents whose fingerprints differ in few bits (pigeonhole blocks, verified Hamming distance); of these
+links those hold whose whole sets have the Jaccard similarity. Fingerprints alone would miss pairs, since sets of similarity 0.8 lie about ten bits apart.
+So an exact search completes them; its rounds leave out what is connected already.
 
 Shingles have one order for all documents (those in many documents last, the more the later, otherwise by hash). Two sets of n and m shingles with a
 Jaccard similarity of t share at least t * max(n, m), so that the first n - t * n + 1 shingles of the one and of the other have a shingle in common
@@ -22,7 +26,8 @@ from pyspark.sql.window import Window
 
 from cohortline.llm.common import free_name, ranges, staged, whole_text
 from cohortline.llm.components import components
-from cohortline.llm.simhash import shingle_hashes
+from cohortline.llm.simhash import fingerprint_of, shingle_hashes
+from cohortline.llm.simhash import links as fingerprint_links
 from cohortline.llm.tokens import forget
 
 #: Shingles shared by at most this many sets compare all pairs at once. Those shared by more go by rounds (`near_components`), which
@@ -54,8 +59,8 @@ def common_shingles(docs: DataFrame, words: int, similarity: float) -> tuple[np.
 
     def most_frequent(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         counted = tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > CROWDED)
-        rows = counted.orderBy(F.desc("n"), "token").limit(COMMON).collect()  # bounded by COMMON rows
-        found, n = np.array([r["token"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64)
+        rows = counted.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()  # bounded by COMMON rows
+        found, n = rows["token"].to_numpy().view(np.uint64), rows["n"].to_numpy()
         order = np.argsort(found)
         return found[order], np.log2(n[order]).astype(np.int8)
 
@@ -103,7 +108,8 @@ def most_shared(x: bytes, y: bytes) -> int | None:
 
 
 def prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """doc_id, key, n, tokens, outline: digest, size, prefix and outline of the set of each row of `docs` (doc_id, text) that has words."""
+    """doc_id, key, fp, n, tokens, outline: digest, SimHash fingerprint, size, prefix and outline of the set of each row of `docs` (doc_id,
+    text) that has words."""
     spread = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words, similarity))
 
     def compute(batches):
@@ -112,18 +118,20 @@ def prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
         for b in batches:
             rows = []
             for i, t in zip(b["doc_id"].to_pylist(), b["text"]):
-                s = shingle_set(t.as_py(), words)
+                hashes = shingle_hashes(t.as_py() or "", words, 0)
+                s = np.unique(hashes)
                 if len(s):
+                    fp = int(fingerprint_of([hashes]).view(np.int64)[0])
                     at, late = places_of(s, last)
                     grades = np.zeros(len(s), np.int8)
                     grades[late] = grade[at[late]]
                     ordered = s[np.argsort(grades, kind="stable")][: prefix_length(len(s), similarity)]
-                    rows.append((i, xxhash.xxh3_128_digest(s.tobytes()), len(s), ordered.tobytes(), outline(s)))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "key", "n", "tokens", "outline"])
+                    rows.append((i, xxhash.xxh3_128_digest(s.tobytes()), fp, len(s), ordered.tobytes(), outline(s)))
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "key", "fp", "n", "tokens", "outline"])
 
-    return docs.mapInArrow(compute, "doc_id long, key binary, n long, tokens binary, outline binary")
+    return docs.mapInArrow(compute, "doc_id long, key binary, fp long, n long, tokens binary, outline binary")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
@@ -263,9 +271,21 @@ def similar(pairs: DataFrame, docs: DataFrame, words: int = 5, similarity: float
     return partners.unionByName(owners).groupBy("b", "part").applyInArrow(compare, "a long, b long")
 
 
+def fingerprint_pairs(nodes: DataFrame, radius: int = 2, blocks: int = 4) -> DataFrame:
+    """a, b (a > b): documents of `nodes` (doc_id, fp) whose fingerprints differ in at most `radius` bits, by the operator of `simhash`.
+
+    The smallest id of a fingerprint stands for it in the links to others, and is tied to its other documents."""
+    prints = staged(nodes.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "fingerprints")
+    of = lambda fp, name: prints.select(F.col("fp").alias(fp), F.col("first").alias(name))
+    close = fingerprint_links(prints, radius, blocks).withColumnsRenamed({"a": "x", "b": "y"}).join(of("x", "i"), "x").join(of("y", "j"), "y")
+    same = nodes.select("doc_id", "fp").hint("merge").join(prints.filter("rows > 1"), "fp").filter("doc_id > first")
+    return close.select(F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")).union(same.select("doc_id", "first"))
+
+
 def near_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """node, component: ids of `docs` (doc_id, text) that are linked to another, and the smallest id of their component.
 
+    Pairs come from the SimHash operator (`fingerprint_pairs`) and from the prefix filter, each once, and whole sets decide.
     Of rows that share an id the set of the smallest digest counts; documents of equal sets are linked to the smallest id, which stands for
     them. Pairs that meet in a crowded bucket are compared in rounds: some documents of each bucket, those with most links first, are
     compared with all others there that aren't connected to them yet, and are then done. Only when no bucket has two documents that are
@@ -280,7 +300,8 @@ def near_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     met = staged(buckets(nodes), "met")
     outlines = staged(nodes.select("doc_id", "n", "outline"), "outlines")
     few = met.filter(F.col("m") <= CROWDED).withColumn("label", F.col("id"))
-    pairs = staged(plausible(meeting(few, few, similarity), outlines, similarity), "candidates")
+    close = fingerprint_pairs(nodes).union(meeting(few, few, similarity)).distinct()
+    pairs = staged(plausible(close, outlines, similarity), "candidates")
     links = staged(similar(pairs, docs, words, similarity).union(equal), "links")
     names = staged(components(links), "components")
     crowd = with_earlier(met).withColumn("done", F.lit(False))

@@ -245,3 +245,32 @@ def test_outlines_never_rule_out_similar_sets():
     far = [np.unique(draw.integers(0, 2**64, 400, dtype=np.uint64)) for _ in range(2)]
     most = near_stage.most_shared(*map(near_stage.outline, far))
     assert most / (800 - most) < 0.8  # unrelated sets are ruled out
+
+
+def test_near_stage_goes_through_simhash(spark, monkeypatch):
+    """Fingerprints within two bits are met by the SimHash operator and go to the comparison of whole sets, which decides."""
+    draw = random.Random(21)
+    rows = []
+    for g in range(8):
+        base = [f"w{draw.randrange(4000)}" for _ in range(600)]
+        for c in range(4):
+            own = list(base)
+            if c:
+                own[draw.randrange(600)] = f"own{g}x{c}"
+            rows.append((g * 10 + c, " ".join(own)))
+    rows += [(900 + k, " ".join(f"z{k}v{j}" for j in range(60))) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {i: int(simhash.fingerprint_of([simhash.shingle_hashes(t, 5, 0)])[0]) for i, t in rows}
+    near = {(a, b) for a in prints for b in prints if a > b and bin(prints[a] ^ prints[b]).count("1") <= 2}
+    nodes = near_stage.prefixes(docs, 5, 0.8)
+    assert {r["doc_id"]: r["fp"] & (2**64 - 1) for r in nodes.collect()} == prints
+    met = {tuple(r) for r in near_stage.fingerprint_pairs(nodes).collect()}
+    assert near and met <= near and brute_groups(sorted(prints), lambda a, b: (max(a, b), min(a, b)) in near) == brute_groups(
+        sorted(prints), lambda a, b: (max(a, b), min(a, b)) in met)
+    compared = []
+    whole = near_stage.similar
+    monkeypatch.setattr(near_stage, "similar", lambda pairs, *rest: compared.append({tuple(r) for r in pairs.collect()}) or whole(pairs, *rest))
+    out = near_stage.drop_near_copies(docs)
+    assert sorted(r["doc_id"] for r in out.collect()) == [g * 10 for g in range(8)] + [900 + k for k in range(5)]
+    sets = {i: set(near_stage.shingle_set(t, 5).tolist()) for i, t in rows}
+    assert {(a, b) for a, b in met if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])} <= compared[0]
