@@ -117,3 +117,19 @@ def test_repeated_records_go_through_joins_once(spark):
     assert {(*tuple(r)[:3], bool(r[3]), r[4]) for r in got} == {
         (1, 5, 7, True, 60000), (1, 5, 8, False, 29700), (1, 5, None, False, 300), (2, 6, 7, True, 2), (3, None, None, False, 1)}
     assert Y.weighted(yearly).count() == 3 and Y.expanded(Y.weighted(yearly)).count() == 303
+
+
+def test_marks_become_flags_behind_the_join(spark):
+    """The rows that the join moves and sorts carry the mark itself, not its flags."""
+    taken = spark.createDataFrame([(1, 2000, "C1", 3, "9", "A-")], "student_id bigint, academic_year int, course_code string, school_id int, grade_level string, mark string")
+    catalog = spark.createDataFrame([("C1", 3, "Algebra I")], "code string, school_id int, name string")
+    marks = Y.course_marks(taken, catalog)
+    assert marks.columns[:5] == ["course_code", "school_id", "student_id", "academic_year", "grade"]
+    assert marks.select("mark_is_a", "course_math").first() == (1, 1)
+    plan = marks._jdf.queryExecution().optimizedPlan().toString()
+    assert "mark_is_a" in plan and "mark_is_a" not in plan[plan.index("Join"):]
+
+
+def test_merged_partitions_are_bounded(district):
+    """A task of the registered queries reads about 16 MB of shuffled rows, however large the tables are."""
+    assert district.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
