@@ -218,3 +218,12 @@ def test_sweep_takes_a_sparse_dataset(spark, tmp_path):
         summary, _ = W.sweep(data, R.feature_columns(data), str(tmp_path / f"sweep{sparse}"), splits, grid)
         scores.append({(r["train"], r["grade"], r["params"]): (round(r["acc"], 9), round(r["roc_auc"], 9)) for r in summary.collect()})
     assert scores[0] == scores[1] and scores[0]
+
+
+def test_fitted_dataset_builds_the_yearly_features_once(spark):
+    """Steps, vocabulary and rows read one saved table; nothing behind them goes back to the line items."""
+    from checks.queries import queries
+    from conftest import SF
+
+    plan = queries()["dataset_fitted"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_returnflag" not in plan
