@@ -161,6 +161,24 @@ def test_learners_score_the_test_rows(instances, name, params):
     assert len(rows) == 100 and all(0 <= r["y_prob"] <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("name, params", [
+    ("random_forest", {"n_estimators": 5, "criterion": "entropy", "max_features": None, "max_depth": 4}),
+    ("decision_tree", {"criterion": "gini", "max_features": None, "max_depth": 5}),
+    ("random_forest", {"n_estimators": 5, "criterion": "entropy", "max_features": "log2", "max_depth": 4}),
+])
+def test_trees_are_the_same_without_constant_features(instances, name, params, monkeypatch):
+    """Features of one value are left out where all features are looked at; scores stay, and draws of features still see all."""
+    data = instances.withColumns({"c1": F.lit(3), "c2": F.lit(None).cast("double")}).select("c1", *instances.columns, "c2")
+    train, test = W.prepared(data, ["c1", "a", "b", "c2"], 2001, 2003, {"imputation": "mean", "smote": None, "subsample": None})
+    rows, size, varying = M.rows_and_varying(train)
+    assert (rows, size, varying) == (200, 4, [1, 2]) and M.rows_and_varying(train.where("false")) == (0, 0, [])
+    whole = M.fit_score(train, test, name, params, rows).collect()
+    widths, plain = [], M.fit
+    monkeypatch.setattr(M, "fit", lambda t, *a: widths.append(M.rows_and_varying(t)[1]) or plain(t, *a))
+    assert sorted(M.fit_score(train, test, name, params, rows, varying=varying).collect()) == sorted(whole)
+    assert widths == [2 if params["max_features"] is None else 4]
+
+
 def test_dummy_scores_follow_the_prior(instances):
     rows = instances.withColumn("label", (F.col("student_id") % 4 == 0).cast("int"))
     out = M.dummy_scores(rows, spark_units(rows), "stratified")
