@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -139,6 +140,44 @@ def test_each_document_goes_to_its_best_seed(spark, shard_postings):
         assert r["seed"] is None if best == 0 else scores[r["seed"]] == pytest.approx(best, rel=1e-4)
 
 
+def test_bounds_spare_pairs_and_change_no_seed(monkeypatch):
+    """Texts of four languages and many sizes: as brute force has it, with less than half of the pairs scored, in one go and in several."""
+    draw = np.random.default_rng(5)
+    chance = 1 / np.arange(1, 301)
+    sets = [100 + 300 * (i % 4) + np.sort(draw.choice(300, draw.integers(1, 120), False, chance / chance.sum())) for i in range(1200)]
+    sets[777] = sets[40]
+    counts = [draw.integers(1, 4, len(x)).astype("<u4") for x in sets]
+    lengths = np.array([c.sum() + 1 for c in counts])
+    df = np.bincount(np.concatenate(sets), minlength=1400)
+    seeds = [i for i in range(1200) if i % 5 == 0 or i == 777]
+    part = lambda some: pa.record_batch({
+        "row": pa.array(some), "n": pa.array(lengths[some]), "terms": pa.array([sets[i].astype("<u2").tobytes() for i in some], pa.binary()),
+        "tf": pa.array([counts[i].tobytes() for i in some], pa.binary())})
+    scored = [0]
+    better = packing.Shard._better
+    monkeypatch.setattr(packing.Shard, "_better", lambda s, d, f, r: (scored.__setitem__(0, scored[0] + f.size), better(s, d, f, r)))
+    monkeypatch.setattr(packing, "ASKED", 8)
+    monkeypatch.setattr(packing, "GROUP", 32)
+    corpus = packing.Corpus(df, 1200, int(lengths.sum()), "<u2")
+    weights = np.zeros((1200, 1400))
+    for i, (t, c) in enumerate(zip(sets, counts)):
+        weights[i, t] = corpus.weights(t, c.astype(np.float32), np.full(len(t), lengths[i]))
+    asked = np.zeros((len(seeds), 1400))
+    for i, q in enumerate(seeds):
+        asked[i, sets[q]] = 1 / math.sqrt(len(sets[q]))
+    brute = weights @ asked.T
+    for held in (10_000, 50):
+        monkeypatch.setattr(packing, "HELD", held)
+        scored[0], shard = 0, packing.Shard(corpus)
+        shard.add(part(list(range(1200))))
+        shard.ask(part(seeds))
+        found = {r["row"]: (r["seed"], r["score"]) for r in shard.rows().to_pylist()}
+        for i in range(1200):
+            near = np.flatnonzero(brute[i] >= brute[i].max() * (1 - 1e-7))
+            assert found[i] == (seeds[near[0]], pytest.approx(brute[i].max(), rel=1e-5))
+        assert scored[0] < 0.5 * brute.size
+
+
 def test_empty_tables_give_empty_results(spark, tmp_path):
     none = spark.createDataFrame([], "doc_id long, text string, path string")
     items = spark.createDataFrame([], "item_id long, text string")
