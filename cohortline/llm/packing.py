@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortline.llm.common import partitions, ranges, staged, whole_text
 from cohortline.llm.token_files import ids_crc32
-from cohortline.llm.tokens import encoded, encoder
+from cohortline.llm.tokens import encoded, vocabulary_size
 from cohortline.sources.shared import new_path
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -315,7 +315,7 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = 40
     `shard_postings` postings and meets the seeds in blocks. A null text counts as empty and has only its end id; repeated rows
     and rows of one id are packed as often as they come; a null id stays null and is no seed. Further columns are not read. An empty table gives no piece."""
     spark = docs.sparkSession
-    terms = max(encoder(path).tokenizer.get_vocab_size(), end_id + 1)
+    terms = max(vocabulary_size(spark, path), end_id + 1)
     kind = "<u2" if terms <= 65_536 else "<u4"
     tokens = tokenized(docs, path, end_id, kind, id_col, text_col)
     used = staged(best_seeds(tokens, terms, kind, every, shard_postings), "seeds")

@@ -14,6 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 from cohortline.llm.common import ranges
 
@@ -117,6 +118,16 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def vocabulary_size(spark: SparkSession, path: str) -> int:
+    """How many ids a vocabulary has. A task counts them, so that the driver need not hold the vocabulary."""
+
+    def count(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([encoder(path).tokenizer.get_vocab_size()], pa.int64())], ["n"])
+
+    return spark.range(1, numPartitions=1).mapInArrow(count, "n long").first()["n"]
+
+
 def forget() -> None:
     """Free the vocabularies and words that an earlier stage has left in this worker, for a stage that needs the room."""
     encoder.cache_clear()

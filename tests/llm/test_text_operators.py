@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortline.llm import html_tree, packing, secrets
-from cohortline.llm.common import table
+from cohortline.llm.common import staged, table
 from cohortline.llm.decontaminate import contaminated, drop_contaminated
 from cohortline.llm.licences import scan_licences, templates
 from cohortline.llm.packing import pack_documents
@@ -102,6 +102,23 @@ def test_packing_when_the_last_document_fills_a_shard(spark):
     assert pack_documents(docs.limit(0), vocabulary(), window=64, every=3, shard_postings=2).collect() == []
 
 
+def test_the_driver_holds_no_vocabulary(spark):
+    encoder.cache_clear()
+    docs = spark.createDataFrame([(i, f"word {i}") for i in range(30)], "doc_id long, text string")
+    assert pack_documents(docs, vocabulary(), window=64).agg({"length": "sum"}).first()[0] >= 90
+    assert encoder.cache_info().currsize == 0
+
+
+def test_a_staged_table_is_read_without_a_job(spark):
+    spark.sparkContext.setJobGroup("staged", "one table")
+    try:
+        found = staged(spark.range(5, numPartitions=1).selectExpr("id", "cast(null as string) as s", "array(id) as a"), "five")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("staged")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(tuple, found.collect())) == [(i, None, [i]) for i in range(5)]
+
+
 def test_packing_prefers_neighbours(spark):
     """Windows of two topics hold one topic each."""
     draw = random.Random(3)
