@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from cohortline.llm import near_stage, simhash
+from cohortline.llm import near_stage, simhash, suffix_dedup
 from cohortline.llm.components import components
 from cohortline.llm.exact_dedup import drop_copies, exact_dedup
 from cohortline.llm.suffix_dedup import NO_ID, remove_repeats, string_classes, suffix_ranks
@@ -274,3 +274,27 @@ def test_near_stage_goes_through_simhash(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in out.collect()) == [g * 10 for g in range(8)] + [900 + k for k in range(5)]
     sets = {i: set(near_stage.shingle_set(t, 5).tolist()) for i, t in rows}
     assert {(a, b) for a, b in met if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])} <= compared[0]
+
+
+@pytest.mark.parametrize("chunk", [1, 30, 1 << 15])
+def test_anchor_runs_by_chunks(monkeypatch, chunk):
+    """However many places are hashed at once: each start lies in one run, and equal strings have equal anchors."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+    draw = random.Random(4)
+    passage = bytes(draw.choices(b"abcdef", k=120))
+    texts = [bytes(draw.choices(b"abcdef", k=draw.choice([0, 10, 49, 50, 200]))) + passage * (i % 3) for i in range(12)] + [b"x" * 700]
+    raw, ends = b"".join(texts), np.cumsum(list(map(len, texts))).astype(np.int64)
+    start, count, anchor = suffix_dedup.anchor_runs(raw, ends)
+    assert count.max() <= suffix_dedup.RUN
+    at = [(a + i, h) for a, n, h in zip(start.tolist(), count.tolist(), anchor.tolist()) for i in range(n)]
+    begins = [0, *ends[:-1].tolist()]
+    assert [a for a, _ in at] == [a for b, e in zip(begins, ends.tolist()) for a in range(b, e - 49)]
+    assert len({(raw[a : a + 50], h) for a, h in at}) == len({raw[a : a + 50] for a, _ in at})
+
+
+def test_groups_by_one_sort():
+    for top in (3, 1 << 20):
+        keys = np.random.default_rng(2).integers(0, top, 500)
+        found = [(k, at.tolist()) for k, at in suffix_dedup._groups(keys)]
+        assert found == [(int(k), np.flatnonzero(keys == k).tolist()) for k in np.unique(keys)]
+    assert list(suffix_dedup._groups(np.empty(0, np.int64))) == []
