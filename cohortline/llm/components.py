@@ -1,4 +1,4 @@
-"""Connected components of a graph given as edges: contraction inside tasks, then alternating star steps on tables."""
+"""Connected components of a graph given as edges: contraction inside tasks, alternating star steps on tables while many edges are left."""
 
 from __future__ import annotations
 
@@ -6,30 +6,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import staged
+from cohortline.llm.common import brief_shuffles, staged
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    """The edges of each batch of a task as stars around the smallest nodes: the same components, never more edges."""
+#: Edges that one task contracts alone.
+FEW = 100_000
+
+
+def _contracted(edges: DataFrame, roots: bool = False, few: int = FEW) -> DataFrame:
+    """The edges of a task as stars around the smallest nodes, at least `few` edges at once: the same components, never more edges. With
+    `roots` each smallest node also has an edge to itself."""
 
     def contract(batches):
-        for b in batches:
-            parent: dict[int, int] = {}
+        parent: dict[int, int] = {}
 
-            def root(x: int) -> int:
-                top = x
-                while parent.setdefault(top, top) != top:
-                    top = parent[top]
-                while parent[x] != top:
-                    parent[x], x = top, parent[x]
-                return top
+        def root(x: int) -> int:
+            top = x
+            while parent.setdefault(top, top) != top:
+                top = parent[top]
+            while parent[x] != top:
+                parent[x], x = top, parent[x]
+            return top
 
+        def stars() -> pa.RecordBatch:
+            pairs = [(x, top) for x in parent if (top := root(x)) != x or roots]
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+        for b in batches:
             for x, y in zip(b["a"].to_pylist(), b["b"].to_pylist()):
                 x, y = root(x), root(y)
                 if x != y:
                     parent[max(x, y)] = min(x, y)
-            pairs = [(x, root(x)) for x in parent if parent[x] != x]
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+            if len(parent) > 2 * few:  # never with `few` edges
+                yield stars()
+                parent.clear()
+        yield stars()
 
     return edges.select("a", "b").mapInArrow(contract, "a long, b long")
 
@@ -48,18 +59,22 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return tied.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, few: int = FEW) -> DataFrame:
     """node, component (its smallest node) for every node of `edges` (a, b: longs, a <> b).
 
-    Tasks contract the edges that they have, then a large-star and a small-star step join what lies in several tasks, until nothing changes: a path
-    of n nodes takes about log n rounds, a graph that fits few tasks one or two. Each round is written to the shared folder.
+    Tasks contract the edges that they have. Up to `few` edges that are left go to one task, which decides. More go through large-star and small-star steps,
+    which join what lies in several tasks, until nothing changes or few are left: a path of n nodes takes about log n rounds. Each round is written to the shared folder.
     Repeated edges count once; rows with a null, and edges from a node to itself, must not occur; without edges there are no rows."""
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = staged(_contracted(ordered), "edges")
     mark = None
     while True:
-        new = tuple(now.distinct().agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if new == mark or not new[0]:
+        with brief_shuffles(now.sparkSession):
+            if now.count() <= few:
+                return staged(_contracted(now.coalesce(1), roots=True, few=few), "edges").select(
+                    F.col("a").alias("node"), F.col("b").alias("component"))
+            new = tuple(now.distinct().agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+        if new == mark:
             break
         mark = new
         now = staged(_contracted(_star(_star(now, small=False), small=True).distinct()), "edges")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortline.llm.common import free_name, ranges, staged, whole_text
+from cohortline.llm.common import brief_shuffles, free_name, ranges, staged, whole_text
 from cohortline.llm.components import components
 from cohortline.llm.simhash import fingerprint_of, shingle_hashes
 from cohortline.llm.simhash import links as fingerprint_links
@@ -59,7 +59,8 @@ def common_shingles(docs: DataFrame, words: int, similarity: float) -> tuple[np.
 
     def most_frequent(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         counted = tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > CROWDED)
-        rows = counted.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()  # bounded by COMMON rows
+        with brief_shuffles(docs.sparkSession):
+            rows = counted.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()  # bounded by COMMON rows
         found, n = rows["token"].to_numpy().view(np.uint64), rows["n"].to_numpy()
         order = np.argsort(found)
         return found[order], np.log2(n[order]).astype(np.int8)
@@ -150,8 +151,9 @@ def buckets(nodes: DataFrame) -> DataFrame:
     counts = staged(nodes.select("tokens").mapInArrow(each, "token long").groupBy("token").agg(F.count("*").alias("m")).filter("m > 1"), "counts")
     width = min(SKETCH, max(1 << 10, 1 << (8 * counts.count()).bit_length()))
     bit = F.col("token").bitwiseAND(F.lit(width - 1))
-    words = counts.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast(token & 63 as int))").alias("bit")).groupBy(
-        "word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most SKETCH / 64 rows
+    with brief_shuffles(nodes.sparkSession):
+        words = counts.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast(token & 63 as int))").alias("bit")).groupBy(
+            "word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most SKETCH / 64 rows
     sketch = np.zeros(width // 64, np.int64)
     sketch[words["word"].to_numpy()] = words["bits"].to_numpy()
     shared = nodes.sparkSession.sparkContext.broadcast(sketch)

@@ -3,13 +3,17 @@
 import hashlib
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from cohortline.llm import components as components_module
 from cohortline.llm import near_stage, simhash, suffix_dedup
+from cohortline.llm.common import CLEANUP, staged
 from cohortline.llm.components import components
 from cohortline.llm.exact_dedup import drop_copies, exact_dedup
 from cohortline.llm.suffix_dedup import NO_ID, remove_repeats, string_classes, suffix_ranks
@@ -159,6 +163,35 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(90)}
 
 
+def test_components_of_few_edges_take_one_task_and_of_many_the_star_steps(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 90)] + [(5, 3)], "a long, b long").repartition(7)
+    want, steps = {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(90)}, []
+    monkeypatch.setattr(components_module, "_star", lambda *a, star=components_module._star, **k: steps.append(1) or star(*a, **k))
+    assert sorted(map(tuple, components(edges).collect())) == sorted(want.items())
+    assert not steps
+    for few in (0, 20):
+        assert sorted(map(tuple, components(edges, few).collect())) == sorted(want.items())
+    assert steps
+    assert not components(edges.limit(0)).collect()
+
+
+def test_staged_rows_leave_no_shuffle_files(spark):
+    numbers = spark.range(1000).selectExpr("id % 7 as k", "id")
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f for b in tracker.getAllFiles().mkString("\n").split("\n") if "shuffle_" in (f := b.rsplit("/", 1)[-1])}
+
+    before = shuffles()
+    rows = staged(numbers.groupBy("k").agg(F.sum("id").alias("s")), "sums")
+    for _ in range(50):  # files go in the background
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left and rows.count() == 7
+    assert spark.conf.get(CLEANUP) == "false"
+
+
 def test_near_stage_keeps_one_of_each_group(spark):
     draw = random.Random(9)
     words = [f"w{i}" for i in range(2000)]
