@@ -301,7 +301,7 @@ def best_seeds(tokens: DataFrame, terms: int, kind: str, every: int, shard_posti
     indexed = few(tokens).select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), "row", "n", "terms", "tf")
     seeds = few(tokens).filter(F.col("id") % every == 0).select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("asks"), "row", "n", "terms", F.lit(b"").alias("tf"))
-    spread = indexed.union(seeds).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "asks", "row")
+    spread = indexed.union(seeds).repartitionById(shards, "shard").sortWithinPartitions("shard", "asks", "row")
     return spread.mapInArrow(search, "row long, seed long, score double")
 
 
@@ -320,9 +320,10 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = 40
     tokens = tokenized(docs, path, end_id, kind, id_col, text_col)
     used = staged(best_seeds(tokens, terms, kind, every, shard_postings), "seeds")
     own = F.col("id") % every == 0
-    ordered = tokens.select("row", "id", "ids").join(used, "row").select(
-        "id", "ids", F.when(own, F.col("row")).otherwise(F.col("seed")).alias("seed"),
+    ordered = tokens.select("row", "id").join(used, "row").select(
+        F.when(own, F.col("row")).otherwise(F.col("seed")).alias("seed"),
         F.when(own, F.lit(float("-inf"))).otherwise(-F.col("score")).alias("place"), "row")
+    dealt = staged(ordered.repartitionByRange(partitions(spark), "seed", "place", "row").withColumn("part", F.spark_partition_id()), "dealt")
 
     def pack(batches):
         packer = Packer(window, TaskContext.get().partitionId() << 32)
@@ -340,5 +341,6 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = 40
         packer.end()
         yield rows()
 
-    spread = ordered.repartitionByRange(partitions(spark), "seed", "place", "row").sortWithinPartitions("seed", "place", "row")
+    # the ids move once: ranges were found without them
+    spread = tokens.select("row", "id", "ids").join(dealt, "row").repartitionById(partitions(spark), "part").sortWithinPartitions("seed", "place", "row")
     return spread.select("id", "ids").mapInArrow(pack, PIECES)

@@ -18,8 +18,8 @@ from pyspark.sql import SparkSession
 
 from cohortline.llm.common import ranges
 
-#: Words kept by a worker; a full cache is emptied. It only saves time.
-CACHED_WORDS = 1_000_000
+#: Words and forms kept by a worker; a full cache is emptied. It only saves time.
+CACHED_WORDS, CACHED_FORMS = 1_000_000, 1_000_000
 #: A word of Latin letters and the stops after it: normalisation leaves these letters alone, but for capitals.
 LATIN = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+"
 LETTERS = re.compile("[a-z\u00DF-\u00F6\u00F8-\u012F\u0131-\u024F]+")
@@ -46,7 +46,7 @@ class WordEncoder:
     """ids_of(texts): all ids end to end and the number of ids of each text, as the tokenizer gives them without special tokens.
 
     A form is what stands between white space. It is one word, or a plain word without its capitals and the stops after it, which are
-    tokens of their own; Arrow takes forms apart, and only distinct words are looked up one by one."""
+    tokens of their own; Arrow takes new forms apart, and only their distinct words are looked up one by one."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -59,6 +59,7 @@ class WordEncoder:
     def _empty(self) -> None:
         self.code: dict[str, int] = {"": 0}
         self.ids, self.ends = array("I"), array("q", [0])
+        self.forms, self.form_parts = pa.array([], pa.string()), np.empty((0, 2), np.int64)
 
     def _learn(self, words: list[str]) -> None:
         """Adds words. Latin letters are one piece for the model; what else there is goes through the whole tokenizer."""
@@ -78,8 +79,6 @@ class WordEncoder:
 
     def _codes(self, words: list[str]) -> np.ndarray:
         """The code of each of some distinct words."""
-        if len(self.code) + len(words) > CACHED_WORDS:
-            self._empty()
         new = [w for w in words if w not in self.code]
         for at in range(0, len(new), 20_000):
             self._learn(new[at : at + 20_000])
@@ -96,10 +95,24 @@ class WordEncoder:
         end_codes = np.fromiter(map(self.code.__getitem__, ends), np.int64, len(ends))
         return np.stack([codes[words.indices.to_numpy()], end_codes[stops.indices.to_numpy()]], axis=1)
 
+    def _known_parts(self, forms: pa.Array) -> np.ndarray:
+        """The `_parts` of some distinct forms; only forms that aren't known yet are taken apart."""
+        known = pc.index_in(forms, value_set=self.forms.cast(forms.type))
+        new = forms.filter(known.is_null())
+        if len(self.code) + len(new) > CACHED_WORDS or len(self.forms) + len(new) > CACHED_FORMS:
+            self._empty()  # words and forms together: a form's parts are codes of words
+            known, new = pa.nulls(len(forms), pa.int32()), forms
+        at = known.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[at < 0] = np.arange(len(new)) + len(self.forms)
+        if len(new):
+            self.form_parts = np.concatenate([self.form_parts, self._parts(new)])
+            self.forms = pa.concat_arrays([self.forms, new.cast(pa.string())])
+        return self.form_parts[at]
+
     def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        parts = self._parts(words.dictionary).ravel()
+        parts = self._known_parts(words.dictionary).ravel()
         ends = np.frombuffer(self.ends, np.int64)
         starts = np.r_[0, ends[:-1]]
         own = ends[parts] - starts[parts]

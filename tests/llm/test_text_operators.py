@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortline.llm import html_tree, packing, secrets
+from cohortline.llm import html_tree, packing, secrets, tokens
 from cohortline.llm.common import staged, table
 from cohortline.llm.decontaminate import contaminated, drop_contaminated
 from cohortline.llm.licences import scan_licences, templates
@@ -53,6 +53,23 @@ def test_word_cache_equals_the_tokenizer():
     assert lengths.tolist() == [len(w.ids) for w in want] and ids.tolist() == [i for w in want for i in w.ids]
 
 
+@pytest.mark.parametrize("words, forms", [(1_000_000, 1_000_000), (40, 1_000_000), (1_000_000, 40), (0, 0)])
+def test_known_forms_are_taken_apart_once(monkeypatch, words, forms):
+    draw = random.Random(4)
+    kinds = [f"{w}{stop}" for w in ("word", "Word", "\u00c4pfel", "x1", "\u00df", "a-b", "\U0001f600") for stop in ("", ".", ",,")] + [f"n{i}" for i in range(30)]
+    texts = [" ".join(draw.choices(kinds, k=20)) for _ in range(60)] + [""]
+    monkeypatch.setattr(tokens, "CACHED_WORDS", words)
+    monkeypatch.setattr(tokens, "CACHED_FORMS", forms)
+    words_encoder, seen = tokens.WordEncoder(vocabulary()), []
+    monkeypatch.setattr(words_encoder, "_parts", lambda f, parts=words_encoder._parts: seen.extend(f.to_pylist()) or parts(f))
+    plain = Tokenizer.from_file(vocabulary())
+    for at in range(0, len(texts), 10):
+        ids, lengths = words_encoder.ids_of(pa.array(texts[at : at + 10]))
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts[at : at + 10]]
+        assert lengths.tolist() == [len(x) for x in want] and ids.tolist() == sum(want, [])
+    assert words < 100 or forms < 100 or len(seen) == len(set(seen))
+
+
 def test_token_files_round_trip(spark, docs, tmp_path):
     folder = str(tmp_path / "t")
     write_tokens(docs, folder, vocabulary(), shard_ids=50)
