@@ -89,6 +89,22 @@ def test_repeats_match_brute_force(spark, hot):
     assert sorted(map(tuple, got), key=str) == brute_repeats(rows)
 
 
+def test_repeats_take_turns(spark, monkeypatch):
+    """Copies of all texts send more than the input holds, so the shards take turns; rows stay the same."""
+    draw = random.Random(7)
+    text = ["".join(draw.choice("abcdeé ") for _ in range(draw.randint(200, 900))) for _ in range(25)]
+    rows = [(i, text[i % 25][: 300 + 10 * i]) for i in range(75)] + [(None, text[0]), (80, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    names = []
+    monkeypatch.setattr(suffix_dedup, "staged", lambda d, name: names.append(name) or staged(d, name))
+    for hot in (2000, 4):
+        names.clear()
+        got = remove_repeats(df, block_bytes=4000, hot_docs=hot, share=1.0).drop("kept").collect()
+        assert sorted(map(tuple, got), key=str) == brute_repeats(rows)
+        assert names.count("answers") > 3
+    assert [suffix_dedup.turns_for(*x, 2.0) for x in ((0, 0), (5, 0), (200, 100), (201, 100), (500, 100))] == [1, 5, 1, 2, 3]
+
+
 def test_suffix_array_is_sorted():
     draw = random.Random(4)
     for letters in (1, 2, 5, 200):
