@@ -217,6 +217,22 @@ def test_sweep_is_complete_and_restartable(spark, instances, tmp_path):
     assert again.count() == configs and same.count() == configs * 100
 
 
+def test_trees_take_few_tasks_and_the_longest_begins(spark, instances, tmp_path, monkeypatch):
+    """Many small partitions are gathered for trees alone; the longest fit begins first; all are scored."""
+    splits = spark.createDataFrame([(9, [2001], 2003)], "grade int, train array<int>, test int").selectExpr("grade", "test", "train[0] as train")
+    grid = {"dummy": {"strategy": ["uniform"]}, "random_forest": {
+        "n_estimators": [1, 3], "criterion": ["gini"], "max_features": ["log2", None], "max_depth": [2], "random_state": [0]}}
+    cores, seen, plain = spark.sparkContext.defaultParallelism, [], W.fit_score
+    monkeypatch.setattr(W, "fit_score", lambda train, test, name, params, *a: seen.append(
+        (name, params.get("n_estimators"), train.rdd.getNumPartitions())) or plain(train, test, name, params, *a))
+    data = instances.repartition(3 * cores, "student_id")
+    summary, _ = W.sweep(data, ["a", "b"], str(tmp_path / "few"), splits, grid, threads=1)
+    assert summary.count() == 5
+    assert [x[:2] for x in seen] == [("random_forest", 3), ("random_forest", 1), ("random_forest", 3), ("random_forest", 1), ("dummy", None)]
+    assert {x[2] for x in seen[:4]} == {cores} and seen[4][2] == 3 * cores
+    assert W.fit_tasks(10, 5, 8) == 8 and W.fit_tasks(1 << 24, 100, 8) == 100 and W.fit_tasks(0, 0, 0) == 1
+
+
 def test_sweep_over_feature_sets(spark, instances, tmp_path):
     catalog = spark.createDataFrame([("a", "t", "x", 0), ("b", "t", "y", 0), ("late", "t", "y", 1)], tables.CATALOG_SCHEMA)
     splits = V.temporal_splits(instances, grades=[11], test_cohorts=[2003], train_only_latest=True)
